@@ -81,14 +81,14 @@ def integrate(
     Equals customer ⟕ address ⟕ orders ⟕ payments from left to right, but joins orders with
     payments first: the NULL order ids of customers without orders, which would all meet in one
     task, are then never a join key, and the narrow tables are shuffled rather than the wide one.
+    Columns are renamed and parsed after the joins: a projection below them would differ between
+    the parts of ``left_join`` and keep those from sharing a shuffle.
     ``total_amount`` is NULL without a payment; ``repair`` fills it.
     """
-    people = join_customer_address(
-        rename_columns(customer, CUSTOMER_NAMES), rename_columns(address, ADDRESS_NAMES)
-    )
-    orders = standardize_orders(orders)
-    paid = join_orders_payments(orders, standardize_payments(payments))
-    wide = left_join(people, paid, "customer_id", right_keys=orders)
+    people = join_customer_address(customer, address)
+    paid = join_orders_payments(orders, payments)
+    joined = left_join(people, paid, "customer_id", right_keys=orders)
+    wide = rename_columns(standardize_payments(standardize_orders(joined)), {**CUSTOMER_NAMES, **ADDRESS_NAMES})
     wide = wide.select(
         "order_id",
         *[c for c in wide.columns if c != "order_id"],
