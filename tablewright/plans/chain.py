@@ -33,7 +33,7 @@ class ChainConfig:
     quality: QualityRules = QualityRules()
     drop_columns: Sequence[str] = ()
     database: str = "curated"
-    publish_mode: str = "replace"
+    publish_mode: str = "replace"  # the chain publishes full snapshots
     provider: str = "parquet"
     buckets: int = 64
     profile: bool = True
@@ -60,10 +60,18 @@ def mask(tables: Mapping[str, DataFrame], config: ChainConfig = ChainConfig()) -
 
 def curate(tables: Mapping[str, DataFrame], config: ChainConfig = ChainConfig()) -> DataFrame:
     """Raw tables to the wide row, lazily."""
+    _require_tables(tables)
     masked = mask(deduplicate(tables, config.tables), config)
     return integrate(**masked, drop_columns=config.drop_columns)
 
 
+def _require_tables(tables: Mapping[str, DataFrame]) -> None:
+    """The joins need all four tables, though reading, deduplicating and masking skip missing ones."""
+    missing = {"customer", "address", "orders", "payments"} - set(tables)
+    if missing:
+        raise ValueError(f"missing tables: {sorted(missing)}")
+
+
 def _profile(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, run_ts: str, config: ChainConfig) -> None:
     both = [profile(df, name, config.approx_profile) for name, df in tables.items()]
     table_metrics, column_metrics = (reduce(DataFrame.unionAll, frames) for frames in zip(*both))
@@ -90,6 +98,7 @@ def run_chain(
 
     Returns the run log: one row per stage and table.
     """
+    _require_tables(tables)
     run_ts = run_ts or new_run_ts()
     log = []
 

@@ -179,7 +179,8 @@ def check_format_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mask_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = raw_table(spark, sf_dir, "customer")
-    return customers.select("customer_id", "last_name", *[partial_mask(c).alias(f"{c}_masked") for c in ("first_name", "last_name", "phone")])
+    masked = [partial_mask(c).alias(f"{c}_masked") for c in ("first_name", "last_name", "phone")]
+    return customers.select("customer_id", "last_name", *masked)
 
 
 @query
@@ -453,13 +454,13 @@ def _published(spark: SparkSession, sf_dir: str, times: int, mode: str, names: l
 
 @query
 def publish_verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _published(spark, sf_dir, 1, "replace", list(SLICE))
+    return _published(spark, sf_dir, 1, "partitions", list(SLICE))
 
 
 @query
 def publish_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishing again leaves one copy."""
-    return _published(spark, sf_dir, 2, "replace", ["customer", "orders"])
+    return _published(spark, sf_dir, 2, "partitions", ["customer", "orders"])
 
 
 @query

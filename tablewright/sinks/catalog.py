@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.model import SLICES, SliceSpec
 from tablewright.operators.profile import row_metrics
 
-MODES = ("replace", "append")
+MODES = ("partitions", "replace", "append")
 
 
 def _layout(spec: SliceSpec, provider: str, buckets: int) -> str:
@@ -58,20 +59,44 @@ def _arranged(df: DataFrame, spec: SliceSpec, buckets: int) -> DataFrame:
     return df
 
 
+@contextmanager
+def _overwriting(spark: SparkSession, scope: str) -> Iterator[None]:
+    """Set what an overwrite replaces; ``insertInto`` takes this from the session alone."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, scope)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _write_iceberg(rows: DataFrame, table: str, mode: str) -> None:
+    writer = rows.writeTo(table)
+    if mode == "append":
+        writer.append()
+    elif mode == "partitions":
+        writer.overwritePartitions()
+    else:
+        writer.overwrite(F.lit(True))
+
+
 def publish(
     spark: SparkSession,
     slices: Mapping[str, DataFrame],
     database: str,
     warehouse: str,
     specs: Sequence[SliceSpec] = SLICES,
-    mode: str = "replace",
+    mode: str = "partitions",
     provider: str = "parquet",
     buckets: int = 64,
 ) -> DataFrame:
     """Create the tables where absent, load the slices and return row counts per table.
 
-    ``replace`` overwrites the date partitions that occur in the new rows, and bucketed tables
-    whole, so publishing twice leaves one copy. ``append`` adds rows on every call.
+    ``partitions`` overwrites the date partitions that occur in the new rows, and bucketed tables
+    whole, so publishing twice leaves one copy. ``replace`` overwrites every table whole, which
+    suits full snapshots: a row whose date has changed leaves nothing behind. ``append`` adds
+    rows on every call.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -80,11 +105,10 @@ def publish(
         table = create_table(spark, rows, spec, database, warehouse, provider, buckets)
         rows = _arranged(rows, spec, buckets).select(*spark.table(table).columns)
         if provider == "iceberg":
-            writer = rows.writeTo(table)
-            writer.append() if mode == "append" else writer.overwritePartitions()
+            _write_iceberg(rows, table, mode)
         else:
-            dynamic = rows.write.option("partitionOverwriteMode", "dynamic" if spec.partition_by else "static")
-            dynamic.insertInto(table, overwrite=mode == "replace")
+            with _overwriting(rows.sparkSession, "dynamic" if mode == "partitions" else "static"):
+                rows.write.insertInto(table, overwrite=mode != "append")
     return verify_counts(spark, database, [s.name for s in specs])
 
 
