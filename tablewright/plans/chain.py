@@ -20,7 +20,7 @@ from tablewright.operators.slices import split_slices
 from tablewright.sinks.catalog import publish
 from tablewright.sinks.reports import dq_report, profile_report, write_report
 from tablewright.sinks.runs import write_run
-from tablewright.sources.runs import new_run_ts, read_run
+from tablewright.sources.runs import latest_run, new_run_ts, read_layer, read_run
 
 
 @dataclass(frozen=True)
@@ -72,84 +72,149 @@ def _require_tables(tables: Mapping[str, DataFrame]) -> None:
         raise ValueError(f"missing tables: {sorted(missing)}")
 
 
-def _profile(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, run_ts: str, config: ChainConfig) -> None:
-    both = [profile(df, name, config.approx_profile) for name, df in tables.items()]
-    table_metrics, column_metrics = (reduce(DataFrame.unionAll, frames) for frames in zip(*both))
-    write_report(profile_report(table_metrics, column_metrics, run_ts), f"{base}/logs/profiling", run_ts)
+LOG_SCHEMA = "table string, input_run_ts string, rows_in long, rows_out long, status string"
 
 
-def _stage(name: str, table: str, rows_in: int, rows_out: int, status: str) -> tuple:
-    return name, table, rows_in, rows_out, status
+def _log(spark: SparkSession, base: str, stage: str, run_ts: str, rows: list[tuple]) -> None:
+    """Add a stage to the run log: table, input run, rows in, rows out and status."""
+    write_run(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), f"{base}/runs/stage={stage}", run_ts)
 
 
-def run_chain(
+def run_log(spark: SparkSession, base: str) -> DataFrame:
+    """One row per run, stage and table."""
+    return read_layer(spark, f"{base}/runs")
+
+
+def latest_of(spark: SparkSession, base: str, stage: str) -> str:
+    """The latest run of a stage."""
+    run_ts = latest_run(run_log(spark, base).where(F.col("stage") == stage)).first()["run_ts"]
+    if run_ts is None:
+        raise ValueError(f"stage {stage!r} has not run yet")
+    return run_ts
+
+
+def _rows(frames: Mapping[str, DataFrame]) -> dict[str, int]:
+    return {r["name"]: r["rows"] for r in row_metrics(frames).collect()}
+
+
+def profile_stage(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     base: str,
-    run_ts: str | None = None,
+    run_ts: str,
     config: ChainConfig = ChainConfig(),
-) -> DataFrame:
-    """Profile, deduplicate, mask, join, check, repair, route and, if the score passes, publish.
-
-    Stages hand over through stored layers, so a lost executor costs at most the current stage
-    and no stage is computed twice: deduplication and masking share one write, and checks,
-    repair and slices read only the columns they need of the layer before. Deduplicated clear
-    text is stored only with ``keep_dedup_layer``. The driver receives row counts and the status.
-
-    Returns the run log: one row per stage and table.
-    """
-    _require_tables(tables)
-    run_ts = run_ts or new_run_ts()
-    log = []
+) -> None:
+    """Write the profile of the raw tables as a report."""
+    both = [profile(df, name, config.approx_profile) for name, df in tables.items()]
+    table_metrics, column_metrics = (reduce(DataFrame.unionAll, frames) for frames in zip(*both))
+    write_report(profile_report(table_metrics, column_metrics, run_ts), f"{base}/logs/profiling", run_ts)
 
-    def layer(name: str) -> str:
-        return f"{base}/{name}"
-
-    if config.profile:
-        _profile(spark, tables, base, run_ts, config)
 
+def mask_stage(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    base: str,
+    run_ts: str,
+    config: ChainConfig = ChainConfig(),
+) -> None:
+    """Deduplicate and mask the raw tables. Both share one write, so that deduplicated clear text
+    is stored only with ``keep_dedup_layer``."""
     deduplicated = deduplicate(tables, config.tables)
     if config.keep_dedup_layer:
         for name, df in deduplicated.items():
-            write_run(df, layer(f"staging_dedup/{name}"), run_ts)
-        deduplicated = {n: read_run(spark, layer(f"staging_dedup/{n}"), run_ts) for n in deduplicated}
+            write_run(df, f"{base}/staging_dedup/{name}", run_ts)
+        deduplicated = {n: read_run(spark, f"{base}/staging_dedup/{n}", run_ts) for n in deduplicated}
     for name, df in mask(deduplicated, config).items():
-        write_run(df, layer(f"staging_masked/{name}"), run_ts)
-    masked = {name: read_run(spark, layer(f"staging_masked/{name}"), run_ts) for name in deduplicated}
+        write_run(df, f"{base}/staging_masked/{name}", run_ts)
+    before = _rows({name: tables[name] for name in deduplicated})
+    after = _rows({name: read_run(spark, f"{base}/staging_masked/{name}", run_ts) for name in deduplicated})
+    _log(spark, base, "mask", run_ts, [(n, None, before[n], after[n], "DONE") for n in deduplicated])
 
-    write_run(integrate(**masked, drop_columns=config.drop_columns), layer("processed"), run_ts)
-    wide = read_run(spark, layer("processed"), run_ts)
 
-    write_run(dq_checks(wide, config.quality), layer("logs/dq_checks"), run_ts)
-    checks = read_run(spark, layer("logs/dq_checks"), run_ts)
+def integrate_stage(
+    spark: SparkSession,
+    base: str,
+    run_ts: str,
+    input_run_ts: str | None = None,
+    config: ChainConfig = ChainConfig(),
+) -> None:
+    """Join the masked tables of a run, by default the latest, into the wide row."""
+    input_run_ts = input_run_ts or latest_of(spark, base, "mask")
+    masked = {s.name: read_run(spark, f"{base}/staging_masked/{s.name}", input_run_ts) for s in config.tables}
+    write_run(integrate(**masked, drop_columns=config.drop_columns), f"{base}/processed", run_ts)
+    rows = _rows({**masked, "wide": read_run(spark, f"{base}/processed", run_ts)})
+    rows_in = sum(rows[name] for name in masked)
+    _log(spark, base, "integrate", run_ts, [("wide", input_run_ts, rows_in, rows["wide"], "DONE")])
+
+
+def quality_stage(
+    spark: SparkSession,
+    base: str,
+    run_ts: str,
+    input_run_ts: str | None = None,
+    config: ChainConfig = ChainConfig(),
+) -> str:
+    """Check, repair and route the wide rows of a run, by default the latest; returns the status."""
+    input_run_ts = input_run_ts or latest_of(spark, base, "integrate")
+    wide = read_run(spark, f"{base}/processed", input_run_ts)
+    write_run(dq_checks(wide, config.quality), f"{base}/logs/dq_checks", run_ts)
+    checks = read_run(spark, f"{base}/logs/dq_checks", run_ts)
     score = dq_score(checks, config.quality.pass_threshold)
-    write_report(dq_report(checks, score, wide, run_ts), layer("logs/dq"), run_ts)
-    write_run(route_by_status(repair(wide), score), layer("routed"), run_ts, "dq_status")
+    write_report(dq_report(checks, score, wide, run_ts), f"{base}/logs/dq", run_ts)
+    write_run(route_by_status(repair(wide), score), f"{base}/routed", run_ts, "dq_status")
+    rows = _rows({"wide": wide, "routed": read_run(spark, f"{base}/routed", run_ts)})
     status = score.first()["dq_status"]
-    routed = read_run(spark, layer("routed"), run_ts)
+    _log(spark, base, "quality", run_ts, [("wide", input_run_ts, rows["wide"], rows["routed"], status)])
+    return status
 
-    counts = {
-        **{f"raw/{n}": df for n, df in tables.items()},
-        **{f"masked/{n}": df for n, df in masked.items()},
-        "wide": wide,
-        "routed": routed,
-    }
-    rows = {r["name"]: r["rows"] for r in row_metrics(counts).collect()}
-    log += [_stage("mask", n, rows[f"raw/{n}"], rows[f"masked/{n}"], "DONE") for n in masked]
-    log.append(_stage("integrate", "wide", sum(rows[f"masked/{n}"] for n in masked), rows["wide"], "DONE"))
-    log.append(_stage("quality", "wide", rows["wide"], rows["routed"], status))
-
-    if status == "PASS":
-        accepted = enforce_schema(routed.where(F.col("dq_status") == "PASS"))
-        slices = split_slices(accepted, config.slices, compat=config.compat)
-        published = publish(
-            spark, slices, config.database, f"{base}/published", config.slices,
-            config.publish_mode, config.provider, config.buckets,
-        )
-        log += [_stage("publish", r["table"], rows["routed"], r["row_count"], "DONE") for r in published.collect()]
-    else:
-        log += [_stage("publish", s.name, rows["routed"], 0, "SKIPPED") for s in config.slices]
 
-    schema = "stage string, table string, rows_in long, rows_out long, status string"
-    write_run(spark.createDataFrame(log, schema).coalesce(1), layer("runs"), run_ts)
-    return read_run(spark, layer("runs"), run_ts).withColumn("run_ts", F.lit(run_ts))
+def publish_stage(
+    spark: SparkSession,
+    base: str,
+    run_ts: str,
+    input_run_ts: str | None = None,
+    config: ChainConfig = ChainConfig(),
+) -> None:
+    """Publish the accepted rows of a run, by default the latest; a run that failed is skipped."""
+    input_run_ts = input_run_ts or latest_of(spark, base, "quality")
+    quality = run_log(spark, base).where((F.col("stage") == "quality") & (F.col("run_ts") == input_run_ts)).first()
+    if quality is None:
+        raise ValueError(f"run {input_run_ts!r} has not been checked")
+    rows_in = quality["rows_out"]
+    if quality["status"] != "PASS":
+        skipped = [(s.name, input_run_ts, rows_in, 0, "SKIPPED") for s in config.slices]
+        return _log(spark, base, "publish", run_ts, skipped)
+    accepted = read_run(spark, f"{base}/routed", input_run_ts).where(F.col("dq_status") == "PASS")
+    slices = split_slices(enforce_schema(accepted), config.slices, compat=config.compat)
+    published = publish(
+        spark, slices, config.database, f"{base}/published", config.slices,
+        config.publish_mode, config.provider, config.buckets,
+    )
+    done = [(r["table"], input_run_ts, rows_in, r["row_count"], "DONE") for r in published.collect()]
+    _log(spark, base, "publish", run_ts, done)
+
+
+def run_chain(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    base: str,
+    run_ts: str | None = None,
+    config: ChainConfig = ChainConfig(),
+) -> DataFrame:
+    """All stages as one run: profile, deduplicate, mask, join, check, repair, route and, if the
+    score passes, publish. Returns the log of the run.
+
+    Stages hand over through stored layers, so a lost executor costs at most the current stage,
+    no stage is computed twice, and each reads only the columns it needs of the layer before.
+    The driver receives row counts and the status. A stage may also be run by itself, on the
+    output of an earlier run.
+    """
+    _require_tables(tables)
+    run_ts = run_ts or new_run_ts()
+    if config.profile:
+        profile_stage(spark, tables, base, run_ts, config)
+    mask_stage(spark, tables, base, run_ts, config)
+    integrate_stage(spark, base, run_ts, run_ts, config)
+    quality_stage(spark, base, run_ts, run_ts, config)
+    publish_stage(spark, base, run_ts, run_ts, config)
+    return run_log(spark, base).where(F.col("run_ts") == run_ts)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from tablewright.model import EMAIL_PATTERN, PHONE_PATTERN
 from tablewright.plans.raw_tables import RAW_SQL, SOURCES
 
+RUN = "20240131_000000"
 COLUMNS = {
     "customer": ["customer_id", "first_name", "last_name", "email", "phone"],
     "address": ["address_id", "customer_id", "street_address", "city", "state", "zip_code"],
@@ -285,8 +286,9 @@ def _run_log(clean: bool) -> str:
         out = count(f"slice_{t}") if clean else "CAST(0 AS BIGINT)"
         rows.append(("publish", t, count("repaired"), out, "'DONE'" if clean else "'SKIPPED'"))
     return " UNION ALL ".join(
-        f"SELECT '{stage}' AS stage, '{table}' AS \"table\", {rows_in} AS rows_in, {rows_out} AS rows_out, "
-        f"{status} AS status"
+        f"SELECT '{stage}' AS stage, '{table}' AS \"table\", "
+        f"{'CAST(NULL AS VARCHAR)' if stage == 'mask' else repr(RUN)} AS input_run_ts, "
+        f"{rows_in} AS rows_in, {rows_out} AS rows_out, {status} AS status"
         for stage, table, rows_in, rows_out, status in rows
     )
 

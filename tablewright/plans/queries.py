@@ -37,6 +37,7 @@ from tablewright.operators.repair import fill_amount, fill_unknown, repair
 from tablewright.operators.schema import cast_failures, enforce_schema
 from tablewright.operators.slices import cut_slice, split_slices
 from tablewright.plans.chain import ChainConfig, curate, run_chain
+from tablewright.plans.oracle import RUN
 from tablewright.plans.raw_tables import raw_table, raw_tables, source
 from tablewright.session import shared_dir
 from tablewright.sinks.catalog import publish
@@ -49,7 +50,6 @@ from tablewright.streaming.latest import compact, read_current, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-RUN = "20240131_000000"
 SPECS = {spec.name: spec for spec in TABLES}
 SLICE = {spec.name: spec for spec in SLICES}
 

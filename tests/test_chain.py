@@ -2,7 +2,17 @@ import json
 
 import pytest
 
-from tablewright.plans.chain import ChainConfig, curate, run_chain
+from tablewright.plans.chain import (
+    ChainConfig,
+    curate,
+    integrate_stage,
+    latest_of,
+    mask_stage,
+    publish_stage,
+    quality_stage,
+    run_chain,
+    run_log,
+)
 from tablewright.sources.runs import read_layer
 
 
@@ -70,6 +80,28 @@ def test_failing_run_is_kept_apart(spark, tables, tmp_path):
     assert rejected.count() == 2
 
 
+def test_stages_by_themselves(spark, tables, tmp_path):
+    base, config = str(tmp_path), ChainConfig(database="chain_stages", buckets=2)
+    mask_stage(spark, tables, base, "1_a", config)
+    with pytest.raises(ValueError, match="'integrate' has not run"):
+        quality_stage(spark, base, "1_c", config=config)
+    integrate_stage(spark, base, "1_b", config=config)
+    assert quality_stage(spark, base, "1_c", config=config) == "PASS"
+    tables["orders"] = tables["orders"].selectExpr("order_id", "customer_id", "order_date", "-1D AS order_amount", "order_status")
+    mask_stage(spark, tables, base, "2_a", config)
+    integrate_stage(spark, base, "2_b", config=config)
+    assert quality_stage(spark, base, "2_c", config=config) == "FAIL"
+    assert quality_stage(spark, base, "3_c", "1_b", config) == "PASS"  # an earlier run, by name
+    publish_stage(spark, base, "2_d", "2_c", config)
+    publish_stage(spark, base, "3_d", config=config)  # the latest checked run
+    with pytest.raises(ValueError, match="has not been checked"):
+        publish_stage(spark, base, "4_d", "9_c", config)
+    log = {(r["run_ts"], r["table"]): (r["input_run_ts"], r["status"]) for r in run_log(spark, base).collect()}
+    assert log["2_b", "wide"] == ("2_a", "DONE") and log["3_c", "wide"] == ("1_b", "PASS")
+    assert log["2_d", "orders"] == ("2_c", "SKIPPED") and log["3_d", "orders"] == ("3_c", "DONE")
+    assert latest_of(spark, base, "publish") == "3_d"
+
+
 def test_missing_table_is_named(spark, tables, tmp_path):
     del tables["address"]
     with pytest.raises(ValueError, match="missing tables: \\['address'\\]"):
