@@ -38,7 +38,7 @@ def create_table(
     Dates become partitions. Ids become hash buckets, which also let later joins on the id skip
     their shuffle; a partition per id would mean a folder per customer.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{warehouse}'")
     table = f"{database}.{spec.name}"
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
     codec = "write.parquet.compression-codec" if provider == "iceberg" else "parquet.compression"
