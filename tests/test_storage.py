@@ -177,3 +177,17 @@ def test_jdbc_reads_by_key_ranges():
     whole = [c for c in reader.calls if not c[0].startswith("(")]
     assert whole[0] == ("orders", {"column": "order_id", "lowerBound": 5, "upperBound": 905, "numPartitions": 8, "properties": {"user": "u"}})
     assert whole[1:] == [("notes", {"properties": {"user": "u"}}), ("empty", {"properties": {"user": "u"}})]
+
+
+def test_a_hot_date_is_written_by_several_tasks(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="50k", spark__sql__shuffle__partitions="8")
+    hot = F.when(F.col("order_id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.expr("date_add('2024-02-01', int(order_id % 9))"))
+    orders = spark.range(0, 30000, 1, 8).select(
+        F.col("id").alias("order_id"), F.col("id").alias("customer_id"), F.lit(1.0).alias("order_amount"),
+        F.sha2(F.col("id").cast("string"), 256).alias("order_status"), F.lit(1.0).alias("total_amount"),
+    ).withColumn("order_date", hot.cast("date"))
+    slices = {"orders": orders.select(*SLICES[2].columns)}
+    assert publish(spark, slices, "hot", str(tmp_path / "hot"), [SLICES[2]]).first()["row_count"] == 30000
+    written = spark.table("hot.orders").select("order_date", F.input_file_name().alias("file")).distinct()
+    files = {str(r["order_date"]): r["count"] for r in written.groupBy("order_date").count().collect()}
+    assert files["2024-01-01"] > 1 and len(files) == 7  # the hot date and the six remainders left
