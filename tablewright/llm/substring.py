@@ -138,7 +138,7 @@ def _finish(batch: Batch) -> pa.Table:
 
 
 def remove_repeated_words(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, batch_bytes: int = 4 << 20, hot: int = 4096
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, batch_bytes: int = 2 << 20, hot: int = 4096
 ) -> DataFrame:
     """The columns of ``docs`` but its text, with counts, the words kept and the factors found.
 

@@ -82,7 +82,7 @@ def _marked(batch: Batch) -> np.ndarray:
 
 def covered(marks: np.ndarray, window: int) -> np.ndarray:
     """Tokens inside a marked window."""
-    total = np.concatenate([np.zeros(window, np.int64), np.cumsum(marks)])
+    total = np.concatenate([np.zeros(window, np.int32), np.cumsum(marks, dtype=np.int32)])
     return total[window:] > total[:-window]
 
 
@@ -92,7 +92,7 @@ def _finish(batch: Batch) -> pa.Table:
     runs = gone & ~np.concatenate([[False], gone[:-1]])
     heads = tokens.bounds[:-1][np.diff(tokens.bounds) > 0]
     runs[heads] = gone[heads]
-    removed, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, runs))
+    removed, spans = (np.concatenate([np.zeros(1, np.int32), np.cumsum(x, dtype=np.int32)]) for x in (gone, runs))
     raw = tokens.data[~gone].tobytes()
     out = [(0, 0, 0, b"")] * len(batch.ids)
     for i in np.flatnonzero(batch.copy):
@@ -112,7 +112,7 @@ def _finish(batch: Batch) -> pa.Table:
 
 
 def remove_repeated_bytes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 50, batch_bytes: int = 4 << 20, hot: int = 4096
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 50, batch_bytes: int = 2 << 20, hot: int = 4096
 ) -> DataFrame:
     """The columns of ``docs`` but its text, with counts, the bytes kept and their digest.
 

@@ -55,10 +55,17 @@ class Tokens:
     """Tokens of several documents: their bytes, their values and where each document begins."""
 
     data: np.ndarray
-    first: np.ndarray
-    last: np.ndarray
     value: np.ndarray
     bounds: np.ndarray
+    #: First byte and end of each token; none where tokens are bytes.
+    first: np.ndarray | None = None
+    last: np.ndarray | None = None
+
+    def begin(self, at: np.ndarray) -> np.ndarray:
+        return at if self.first is None else self.first[at]
+
+    def end(self, at: np.ndarray) -> np.ndarray:
+        return at + 1 if self.last is None else self.last[at]
 
     def doc(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, at, side="right") - 1
@@ -113,6 +120,7 @@ def smallest(x: np.ndarray, width: int) -> np.ndarray:
 
 def tokenise(texts: list[bytes], words: bool) -> Tokens:
     """Bytes as they are, or the words of each text joined by one space."""
+    first = last = None
     if words:
         texts = [b" ".join(t.split()) for t in texts]
         counts = [t.count(b" ") + 1 if t else 0 for t in texts]
@@ -126,9 +134,8 @@ def tokenise(texts: list[bytes], words: bool) -> Tokens:
     else:
         counts = [len(t) for t in texts]
         data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        first = np.arange(len(data), dtype=np.int64)
-        last, value = first + 1, _BYTES[data]
-    return Tokens(data, first, last, value, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64))
+        value = _BYTES[data]
+    return Tokens(data, value, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), first, last)
 
 
 def anchors(tokens: Tokens, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -228,7 +235,7 @@ class Batch:
             order = np.argsort(first, kind="stable")
             first, last, key, doc = first[order], last[order], key[order], doc[order]
         raw, seen, heads = self.tokens.data.tobytes(), {}, []
-        a, b = self.tokens.first[first], self.tokens.last[last + self.unit.window - 1]
+        a, b = self.tokens.begin(first), self.tokens.end(last + self.unit.window - 1)
         record = np.zeros(len(first), dtype=np.int64)
         for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
             text = raw[x:y]
