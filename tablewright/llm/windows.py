@@ -155,7 +155,8 @@ def anchors(tokens: Tokens, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndar
         place = at[starts]
         new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (np.diff(starts) != 1)]))
         last = starts[np.concatenate([new[1:] - 1, [len(starts) - 1]])]
-        out.append((starts[new] + a, last + a, grams[place[new]]))
+        # Anchors have small hashes; mixed anew, their keys spread evenly over the buckets.
+        out.append((starts[new] + a, last + a, mixed(grams[place[new]] + np.uint64(_BASE))))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*out))
