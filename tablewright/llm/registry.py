@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.llm.pivots import near_vectors
+from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.substring import remove_repeated_words
 from tablewright.llm.suffix_dedup import remove_repeated_bytes
 
@@ -26,7 +28,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(_texts(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_texts(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 PIECE = 1 << 18
 _BASE = 0xD1342543DE82EF95
@@ -390,9 +390,12 @@ def _batched(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int) -> t
 
 def _copies(parts: DataFrame) -> DataFrame:
     """Documents whose whole text a smaller id has, gathered by batch."""
-    digests = parts.select("__batch", "__id", F.sha2("__text", 256).alias("__digest"))
-    least = digests.groupBy("__digest").agg(F.min("__id").alias("__least"), F.max("__id").alias("__most")).where("__most > __least")
-    copies = digests.join(least, "__digest").where("__id > __least").select("__batch", "__id")
+    own = parts.groupBy(F.unhex(F.sha2("__text", 256)).alias("__digest"), "__batch").agg(
+        F.min("__id").alias("__least"), F.collect_list("__id").alias("__ids")
+    )
+    # A hot text is one row a batch by now.
+    least = F.min("__least").over(Window.partitionBy("__digest"))
+    copies = own.withColumn("__least", least).select("__batch", F.explode(F.expr("filter(__ids, x -> x > __least)")).alias("__id"))
 
     def gather(key, table):
         return _rows([(key[0].as_py(), COPIES, 0, table["__id"].to_numpy().tobytes(), None, None, None)], REPLY)
