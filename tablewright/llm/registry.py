@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+from tablewright.llm.bpe import decode, encode
+from tablewright.llm.language import held_out, identify, train
+from tablewright.llm.mixing import mix
 from tablewright.llm.pivots import near_vectors
+from tablewright.llm.quality import BASE, POLICIES, ledger, passes
+from tablewright.llm.quotes import link_quotes
 from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.substring import remove_repeated_words
 from tablewright.llm.suffix_dedup import remove_repeated_bytes
+from tablewright.llm.warc import read_archive, write_archive
+from tablewright.session import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +29,31 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_bytes(_texts(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+def op1_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    done = decode(encode(_texts(spark, sf_dir), path).drop("text"), path)
+    return done.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
 
 
-def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_words(_texts(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = ledger(_texts(spark, sf_dir))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~passes(BASE)).alias("base_failed"), passes(POLICIES["clean_prose"]).alias("kept"),
+    )
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotes(table(spark, sf_dir, "conversations"))
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(_texts(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,11 +64,47 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train(documents)
+    return identify(documents.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(_texts(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_simhash_near_dedup": op5_simhash_near_dedup,
-    "op6_embedding_near_dedup": op6_embedding_near_dedup,
-    "op4_suffix_array_dedup": op4_suffix_array_dedup,
-    "op10_substring_dedup": op10_substring_dedup,
+    f.__name__: f
+    for f in (
+        op1_bpe_encoding_and_decoding,
+        op2_quality_rules,
+        op3_chat_formatting,
+        op4_suffix_array_dedup,
+        op5_simhash_near_dedup,
+        op6_embedding_near_dedup,
+        op7_language_id,
+        op8_mixing_sources,
+        op9_warc,
+        op10_substring_dedup,
+        pipeline,
+    )
 }
 
 #: SQL for DuckDB, where it can express a query.

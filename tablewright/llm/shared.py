@@ -25,6 +25,17 @@ def buckets_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     return max(rows // rows_each + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], how: str, salts: int = 256) -> DataFrame:
+    """Join a table with hot keys to one with at most one row a key: each of those rows is repeated ``salts``
+    times, and the left rows of a key are dealt over the copies. Keys may be null; the right's names must differ."""
+    left = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    right = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    on = left["__salt"] == right["__copy"]
+    for a, b in keys:
+        on = on & left[a].eqNullSafe(right[b])
+    return left.join(right, on, how).drop("__salt", "__copy")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, its smallest reachable node, of every node with an edge (``a``, ``b``).
 
