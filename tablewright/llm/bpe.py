@@ -28,9 +28,11 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
+from tablewright.llm.shared import give_back
+
 NONE = np.int64(1) << 60
 SIDE_BY_SIDE = 256
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Characters beyond these blocks may be new in some version of Unicode.
 RECENT = regex.compile("[^\\u0000-\\u052f\\u2010-\\u2027\\u2030-\\u205e\\u20a0-\\u20bf]")
 
@@ -293,6 +295,7 @@ def _mapped(df: DataFrame, source: str, target: str, kind: str, make) -> DataFra
                 out = work(column.slice(a, b - a).to_pylist())
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out)], names=[*part.schema.names, target])
+            give_back()
 
     return df.mapInArrow(run, f"{schema}, `{target}` {kind}")
 

@@ -23,6 +23,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablewright.llm.shared import give_back
+
 FEATURE_BITS = 16
 UNKNOWN = "und"
 #: First letters of ranges of code points that one script uses, and its name.
@@ -57,7 +59,7 @@ _FIRST = [first for first, _ in SCRIPTS]
 NAMES = sorted({name for _, name in SCRIPTS})
 _NUMBER = np.array([NAMES.index(name) for _, name in SCRIPTS])
 _WORD = re.compile(r"[^\W\d_]+")
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 
 
 @dataclass
@@ -189,7 +191,7 @@ def label(texts: list[str | None], model: Model) -> list[tuple[str, float, list[
     if not len(which) or not model.languages:
         return [(UNKNOWN, 0.0, []) for _ in texts]
     distinct = list(numbers)
-    table = np.concatenate([scores(distinct[a : a + 20_000], model) for a in range(0, len(distinct), 20_000)])
+    table = np.concatenate([scores(distinct[a : a + 5_000], model) for a in range(0, len(distinct), 5_000)])
     known = np.concatenate([model.writes[script(distinct)].any(axis=1)])[which]
     letters = np.array([len(w) for w in distinct])[which]
     langs = viterbi(table[which], sizes, model.penalty)
@@ -235,6 +237,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                     columns = [*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, shape)]
                     yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "lang_pred", "score", "spans"])
                     start, total = i + 1, 0
+            give_back()
 
     spans = "array<struct<first_word:long,n_words:long,lang:string>>"
     return docs.mapInArrow(run, f"{schema}, lang_pred string, score double, spans {spans}")

@@ -156,16 +156,21 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     taken, joined by spaces. ``slot`` is the place of a row in the schedule, ``round`` counts repeats from 0."""
     for name in {"slot", "round"} & set(docs.columns):
         raise ValueError(f"column {name} is there already")
-    # Rows are known by what they hold; equal rows are numbered.
-    hashed = docs.withColumn("__hash", F.xxhash64(*docs.columns))
-    same = Window.partitionBy("__hash").orderBy(F.lit(0))
-    named = hashed.select("*", F.concat_ws("#", F.col(id_col).cast("string"), F.col("__hash").cast("string"), F.row_number().over(same).cast("string")).alias("__row"))
-    named = kept(named.withColumn("__size", size_of(text_col)))
-    sized = named.select("__row", F.col(source_col).alias("source"), F.col("__size").alias("size"))
+    # Rows are known by their id and a hash of what they hold. Equal rows are numbered without their texts, which
+    # are shuffled once: one row of each kind meets all that the mix takes of it.
+    row = [F.col(id_col).alias("__id"), F.xxhash64(*docs.columns).alias("__hash")]
+    small = docs.select(*row, F.col(source_col).alias("source"), size_of(text_col).alias("size"))
+    same = Window.partitionBy("__id", "__hash").orderBy(F.lit(0))
+    number = F.row_number().over(same).cast("string")
+    name = F.concat_ws("#", F.coalesce(F.col("__id").cast("string"), F.lit("null")), F.col("__hash").cast("string"), number)
+    sized = kept(small.withColumn("__row", name))
     goals = kept(targets(sized))
-    rounds = taken_pieces(sized, goals, block).groupBy("__row", "round")
+    rounds = taken_pieces(sized.select("__row", "source", "size"), goals, block).groupBy("__row", "round")
     rounds = rounds.agg(F.min("slot").alias("slot"), F.min("first_word").alias("__first"), F.sum("n_words").alias("__n"))
-    rows = named.join(rounds, "__row")
+    rounds = rounds.join(sized.select("__row", "__hash", F.col("size").alias("__size")), "__row")
+    rounds = rounds.withColumn("__key", F.regexp_replace("__row", "#[0-9]+$", "")).drop("__row", "__hash")
+    key = F.concat_ws("#", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.xxhash64(*docs.columns).cast("string"))
+    rows = docs.withColumn("__key", key).dropDuplicates(["__key"]).join(rounds, "__key")
     words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
     cut = F.array_join(F.slice(words, F.col("__first").cast("int") + 1, F.col("__n").cast("int")), " ")
     text = F.when(F.col("__n") < F.col("__size"), cut).otherwise(F.col(text_col))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.session import shared_dir
@@ -75,3 +78,11 @@ def forest(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
             break
         label = new
     return label
+
+
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.shared import buckets_for, components, forest, kept
+from tablewright.llm.shared import buckets_for, components, forest, give_back, kept
 
 SEED = 42
 TRIPLES = [c for half in (range(4), range(4, 8)) for c in combinations(half, 3)]
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3) -> D
             prints = [fingerprint(t, shingle) for t in batch["__text"].to_pylist()]
             columns = [batch.column(c) for c in rest] + [pa.array(prints, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, "__print"])
+            give_back()
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text")
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "__print long"])

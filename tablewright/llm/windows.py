@@ -26,6 +26,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tablewright.llm.shared import give_back
+
 PIECE = 1 << 18
 _BASE = 0xD1342543DE82EF95
 _MASK = (1 << 64) - 1
@@ -287,6 +289,7 @@ def _send_grams(unit: Unit) -> Callable:
     def send(key, table, replies):
         if not table.num_rows:
             return _rows([], SENT)
+        give_back()
         batch = Batch(table, replies, unit)
         keys, counts, _ = batch.grams()
         counts = np.minimum(counts, 255).astype(np.uint8)
@@ -321,6 +324,7 @@ def _send_blocks(unit: Unit) -> Callable:
     def send(key, table, replies):
         if not table.num_rows:
             return _rows([], SENT)
+        give_back()
         batch = Batch(table, replies, unit)
         batch.blocks()
         ids, starts = batch.places(batch.head)
@@ -363,6 +367,7 @@ def _answer_blocks(unit: Unit, decide: Callable[[Bucket, Unit], list[tuple]]) ->
     """``decide`` gives a blob for every block and column of the answer, as arrays cut by block."""
 
     def answer(key, table):
+        give_back()
         rows = table.to_pylist()
         bucket = _open(rows, unit)
         cut = decide(bucket, unit)
@@ -421,7 +426,9 @@ def repeated_windows(
     copies = _copies(parts)
 
     def last(key, table, replies):
-        return finish(Batch(table, replies, unit))
+        out = finish(Batch(table, replies, unit))
+        give_back()
+        return out
 
     def cogroup(replies, f, out):
         return parts.groupBy("__batch").cogroup(replies.groupBy("batch")).applyInArrow(f, out)
