@@ -43,5 +43,3 @@ def mask_pii(
                 F.sha2(columns[name], 256) if compat else sha256_hex(name, salt)
             )
     return df.withColumns(columns)
-
-__all__ = ["mask_pii", "email_mask"]

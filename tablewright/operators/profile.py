@@ -108,7 +108,9 @@ def profile_table(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
     two 64-bit fingerprints per row instead of the row, for tables too wide to shuffle.
     """
     if approx:
-        key = [F.xxhash64(*df.columns).alias("_h1"), F.xxhash64(F.lit(1), *df.columns).alias("_h2")]
+        # A hash skips NULLs, so every value goes with its null flag.
+        cells = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+        key = [F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *cells).alias("_h2")]
     else:
         key = [F.col(f"`{c}`") for c in df.columns]
     folded = df.groupBy(*key).agg(F.count("*").alias(_N))

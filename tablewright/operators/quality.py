@@ -16,6 +16,29 @@ from tablewright.model import CRITICAL_COLUMNS, DATE_FORMAT, NUMERIC_RANGES, Qua
 RowCheck = tuple[str, str, Column]  # check name, column, condition under which a row fails
 
 
+def _row(check: str, column: str, failed: Column, passed: Column) -> Column:
+    names = (("check", F.lit(check)), ("column", F.lit(column)), ("failed_count", failed), ("passed", passed))
+    return F.struct(*[value.alias(name) for name, value in names])
+
+
+def _one_pass(wide: DataFrame, checks: Sequence[RowCheck], rules: QualityRules) -> DataFrame:
+    """Row checks and surplus rows per key from one read of ``wide``: counts are folded per key on the map
+    side, then summed."""
+    failing = [F.count_if(condition).alias(f"failed_{i}") for i, (_, _, condition) in enumerate(checks)]
+    per_key = wide.groupBy(rules.duplicate_key).agg(F.count("*").alias("rows"), *failing)
+    zero = F.lit(0).cast("long")
+    surplus = F.sum(F.when(F.col(rules.duplicate_key).isNotNull(), F.col("rows") - 1))
+    sums = [F.coalesce(F.sum(f"failed_{i}"), zero).alias(f"failed_{i}") for i in range(len(checks))]
+    counts = per_key.agg(*sums, F.coalesce(surplus, zero).alias("surplus"))
+    rows = [
+        _row(check, column, F.col(f"failed_{i}"), F.col(f"failed_{i}") == 0)
+        for i, (check, column, _) in enumerate(checks)
+    ]
+    passed = F.lit(not rules.enforce_duplicates) | (F.col("surplus") == 0)
+    rows.append(_row("duplicate_check", rules.duplicate_key, F.col("surplus"), passed))
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def check_rows(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     """Count the rows that fail each check, in one pass over ``df``."""
     counts = df.agg(*[F.count_if(condition).alias(f"failed_{i}") for i, (_, _, condition) in enumerate(checks)])
@@ -122,9 +145,7 @@ def dq_checks(
     checks += _range_checks({c: r for c, r in rules.ranges.items() if c in present})
     if parent is None:
         checks.append(("referential_integrity", "customer_id", has_order & F.col("customer_id").isNull()))
-    result = check_rows(wide, checks).unionByName(
-        check_duplicates(wide.where(has_order), rules.duplicate_key, rules.enforce_duplicates)
-    )
+    result = _one_pass(wide, checks, rules)
     if parent is not None:
         result = result.unionByName(check_referential(wide if child is None else child, parent))
     return result

@@ -451,6 +451,18 @@ ORACLE: dict[str, str] = {
     "land_changes_daily": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1",
     "land_reload": f"SELECT {', '.join(_EVENTS)} FROM events",
     "stream_latest_events": _latest("events", _EVENTS, ["user_id"], "ts"),
+    "stream_latest_compacted": _latest(
+        "even_events", ["event_id", "ts", "user_id", "event_type", "value", "props"], ["user_id"], "ts"
+    ).replace("FROM even_events", "FROM (SELECT * FROM events WHERE event_id % 2 = 0) AS even_events"),
+    "publish_upsert_customers": (
+        "SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 3 = 0 THEN 'changed' ELSE c_name END AS customer_first_name "
+        "FROM customer UNION ALL SELECT -c_custkey, 'changed' FROM customer WHERE c_custkey % 3 = 0"
+    ),
+    "profile_table_approx": (
+        "SELECT 'orders' AS \"table\", count(*) AS row_count, 2 AS column_count, "
+        "count(*) - (SELECT count(*) FROM (SELECT DISTINCT o_orderkey % 2, o_orderstatus FROM orders)) AS duplicate_count "
+        "FROM orders"
+    ),
     "stream_mask_customers": (
         f"SELECT c_custkey, {_partial('c_name')} AS last_name, sha256(c_name) AS last_name_hashed FROM customer"
     ),

@@ -60,7 +60,7 @@ def query(function: Query) -> Query:
 
 
 def _wide(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
-    return curate(raw_tables(spark, sf_dir, clean))
+    return curate(raw_tables(spark, sf_dir, clean), store=shared_dir(spark, "masked"))
 
 
 def _stored_wide(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
@@ -282,7 +282,7 @@ def integrate_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def integrate_drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configured columns are dropped; unknown names are ignored."""
-    return curate(raw_tables(spark, sf_dir), ChainConfig(drop_columns=("customer_phone", "no_such_column")))
+    return curate(raw_tables(spark, sf_dir), ChainConfig(drop_columns=("customer_phone", "no_such_column")), shared_dir(spark, "masked"))
 
 
 # -- quality -------------------------------------------------------------------------------
@@ -329,7 +329,7 @@ def dq_checks_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_checks_against_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = raw_tables(spark, sf_dir)
-    return dq_checks(curate(tables), child=tables["orders"], parent=tables["customer"])
+    return dq_checks(curate(tables, store=shared_dir(spark, "masked")), child=tables["orders"], parent=tables["customer"])
 
 
 @query
@@ -430,37 +430,26 @@ def slice_all_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_slices(repair(wide), payments=wide)["payments"]
 
 
-def _eager_writes(spark: SparkSession) -> SparkSession:
-    """A session whose date-partitioned writes use all cores even where all rows together are
-    below the size that adaptive execution would give to one task."""
-    session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
-    return session
-
-
 def _published(spark: SparkSession, sf_dir: str, times: int, mode: str, names: list[str]) -> DataFrame:
-    spark = _eager_writes(spark)
     base = shared_dir(spark, "published")
     write_run(repair(_wide(spark, sf_dir, clean=True)), base, RUN)
     slices = split_slices(enforce_schema(read_run(spark, base, RUN)))
     specs = [SLICE[n] for n in names]
     database = "published_" + base[-8:]
     for _ in range(times):
-        counts = publish(spark, slices, database, f"{base}-tables", specs, mode, buckets=8)
+        counts = publish(spark, slices, database, f"{base}/tables", specs, mode)
     return counts
 
 
 @query
 def publish_verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _published(spark, sf_dir, 1, "partitions", list(SLICE))
+    return _published(spark, sf_dir, 1, "upsert", list(SLICE))
 
 
 @query
 def publish_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishing again leaves one copy."""
-    return _published(spark, sf_dir, 2, "partitions", ["customer", "orders"])
+    return _published(spark, sf_dir, 2, "upsert", ["customer", "orders"])
 
 
 @query
@@ -469,6 +458,33 @@ def publish_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, sf_dir, 2, "append", ["customer", "address"])
 
 
+@query
+def publish_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers, then a changed part of them: the table keeps the others and has one row a key."""
+    base = shared_dir(spark, "upsert")
+    people = source(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_first_name")
+    )
+    empty = {c: F.lit(None).cast("string") for c in SLICE["customer"].columns if c not in people.columns}
+    people = people.withColumns(empty)
+    changed = people.where("customer_id % 3 = 0").withColumn("customer_first_name", F.lit("changed"))
+    added = changed.withColumn("customer_id", -F.col("customer_id"))
+    database = "upsert_" + base[-8:]
+    for rows in (people, changed.unionByName(added)):
+        publish(spark, {"customer": rows}, database, f"{base}/tables", [SLICE["customer"]])
+    return spark.table(f"{database}.customer").select("customer_id", "customer_first_name")
+
+
+@query
+def profile_table_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surplus rows by fingerprints, over rows whose NULLs stand in shifted columns."""
+    orders = source(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("a"),
+        F.when(F.col("o_orderkey") % 2 == 1, F.col("o_orderstatus")).alias("b"),
+    )
+    return profile_table(orders, "orders", approx=True)
+
+
 # -- runs and layers -----------------------------------------------------------------------
 
 
@@ -541,9 +557,8 @@ def chain_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chain(spark: SparkSession, sf_dir: str, clean: bool) -> DataFrame:
-    spark = _eager_writes(spark)
     base = shared_dir(spark, "chain")
-    config = ChainConfig(database="chain_" + base[-8:], buckets=8)
+    config = ChainConfig(database="chain_" + base[-8:])
     return run_chain(spark, raw_tables(spark, sf_dir, clean), base, RUN, config).drop("run_ts")
 
 
@@ -600,6 +615,20 @@ def stream_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, f"{base}/rows", keys, sort)
 
 
+@query
+def stream_latest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compaction beside a batch that is still being written reads neither it nor past it."""
+    base = shared_dir(spark, "compacted")
+    events = source(spark, sf_dir, "events")
+    events.where("event_id % 2 = 0").repartition(4, "event_id").write.parquet(f"{base}/source")
+    keys, sort = "user_id", "ts"
+    changes = read_changes(spark, f"{base}/source", events.schema, files_per_batch=2)
+    stream_latest(changes, f"{base}/rows", f"{base}/checkpoint", keys, sort, once=True).awaitTermination()
+    events.where("event_id % 4 = 1").write.parquet(f"{base}/rows/batches/batch_id=99")
+    compact(spark, f"{base}/rows", keys, sort)
+    return read_current(spark, f"{base}/rows", keys, sort)
+
+
 @query
 def stream_mask_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch mask on a stream."""

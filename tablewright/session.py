@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,20 +25,24 @@ def build_session(app: str = "tablewright", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-@functools.lru_cache(maxsize=None)
-def _local_base(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="tablewright-")
-
-
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
-
-    Where the setting is absent a temporary folder stands in, but only in local mode:
-    on a cluster, a folder of one machine would lose rows.
-    """
+    """A fresh folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset: both are
+    folders that all executors reach. It is deleted when the session's JVM ends."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_base(spark.sparkContext.applicationId)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.tablewright"
+    parent = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    files, where = _file_system(spark, parent), spark._jvm.org.apache.hadoop.fs.Path(parent)
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return f"{parent}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored folder, if it is there."""
+    _file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

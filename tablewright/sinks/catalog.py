@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -10,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablewright.model import SLICES, SliceSpec
 from tablewright.operators.profile import row_metrics
 
-MODES = ("partitions", "replace", "append")
+#: About 256 MB of a narrow table.
+ROWS_PER_BUCKET = 4_000_000
+MODES = ("upsert", "partitions", "replace", "append")
 
 
 def _layout(spec: SliceSpec, provider: str, buckets: int) -> str:
@@ -81,33 +84,55 @@ def _write_iceberg(rows: DataFrame, table: str, mode: str) -> None:
         writer.overwrite(F.lit(True))
 
 
+def _with_stored(spark: SparkSession, rows: DataFrame, table: str, spec: SliceSpec, warehouse: str) -> DataFrame:
+    """The new rows and the stored rows of other keys, laid beside the table that they will replace.
+
+    The folder stays if the overwrite fails, as it then is the only whole copy."""
+    keys = rows.select(F.col(spec.key).alias("_new")).distinct()
+    others = spark.table(table).join(keys, F.col(spec.key).eqNullSafe(F.col("_new")), "left_anti")
+    beside = f"{warehouse}/_upsert/{spec.name}-{uuid.uuid4().hex}"
+    others.select(*rows.columns).unionByName(rows).write.parquet(beside)
+    return spark.read.parquet(beside)
+
+
 def publish(
     spark: SparkSession,
     slices: Mapping[str, DataFrame],
     database: str,
     warehouse: str,
     specs: Sequence[SliceSpec] = SLICES,
-    mode: str = "partitions",
+    mode: str = "upsert",
     provider: str = "parquet",
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Create the tables where absent, load the slices and return row counts per table.
 
-    ``partitions`` overwrites the date partitions that occur in the new rows, and bucketed tables
-    whole, so publishing twice leaves one copy. ``replace`` overwrites every table whole, which
-    suits full snapshots: a row whose date has changed leaves nothing behind. ``append`` adds
-    rows on every call.
+    ``upsert`` overwrites the date partitions that occur in the new rows, and in bucketed tables the
+    rows whose key occurs, so publishing twice leaves one copy and an incremental slice deletes
+    nothing. ``partitions`` does the former alone and refuses bucketed tables. ``replace`` overwrites
+    every table whole, which suits full snapshots: a row whose date has changed leaves nothing
+    behind. ``append`` adds rows on every call. Without ``buckets`` a new table gets one for every
+    ``ROWS_PER_BUCKET`` of its first rows.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    whole = [s.name for s in specs if not s.partition_by]
+    if mode == "partitions" and whole:
+        raise ValueError(f"{whole} have no date partitions; use mode='upsert'")
     for spec in specs:
         rows = slices[spec.name]
-        table = create_table(spark, rows, spec, database, warehouse, provider, buckets)
-        rows = _arranged(rows, spec, buckets).select(*spark.table(table).columns)
+        parts = buckets or (rows.count() // ROWS_PER_BUCKET + 1 if spec.bucket_by else 1)
+        table = create_table(spark, rows, spec, database, warehouse, provider, parts)
+        columns = spark.table(table).columns
+        if mode == "upsert" and spec.bucket_by:
+            rows = _with_stored(spark, rows.select(*columns), table, spec, warehouse)
+        rows = _arranged(rows, spec, parts).select(*columns)
         if provider == "iceberg":
-            _write_iceberg(rows, table, mode)
+            by_date = "partitions" if spec.partition_by else "replace"
+            _write_iceberg(rows, table, by_date if mode == "upsert" else mode)
         else:
-            with _overwriting(rows.sparkSession, "dynamic" if mode == "partitions" else "static"):
+            by_date = bool(spec.partition_by) and mode in ("upsert", "partitions")
+            with _overwriting(rows.sparkSession, "dynamic" if by_date else "static"):
                 rows.write.insertInto(table, overwrite=mode != "append")
     return verify_counts(spark, database, [s.name for s in specs])
 

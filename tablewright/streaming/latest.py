@@ -3,7 +3,8 @@
 The latest of all rows is the latest of the latest rows of each batch. So a batch is folded to
 one row per key and stored under its batch number, and readers fold the stored batches. No
 streaming state grows with the table, a repeated batch replaces itself, and a hot key adds one
-row per batch. ``compact`` folds the stored batches into one now and then.
+row per batch. A batch counts once its number is recorded, after its files are complete; readers
+and ``compact``, which folds the stored batches into one now and then, use recorded batches only.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablewright.operators.dedup import dedup_latest
+from tablewright.session import remove
 
-_BATCHES, _FOLDED, _DONE = "batches", "folded", "compactions"
+_BATCHES, _COMMITTED, _FOLDED, _DONE = "batches", "committed", "folded", "compactions"
 
 
 def stream_latest(
@@ -34,29 +36,45 @@ def stream_latest(
     def store(batch: DataFrame, batch_id: int) -> None:
         latest = dedup_latest(batch, keys, sort, ties)
         latest.write.mode("overwrite").parquet(f"{path}/{_BATCHES}/batch_id={batch_id}")
+        _record(changes.sparkSession, f"{path}/{_COMMITTED}", batch_id)
 
+    # What readers find before the first batch.
+    nothing = changes.sparkSession.createDataFrame([], changes.schema)
+    nothing.write.mode("ignore").parquet(f"{path}/{_FOLDED}/upto=-1")
     trigger = {"availableNow": True} if once else {"processingTime": f"{seconds} seconds"}
     writer = changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
 
 
-def _last_compaction(spark: SparkSession, path: str) -> int:
-    """The last batch in the newest finished compaction, or -1."""
+def _record(spark: SparkSession, path: str, number: int) -> None:
+    spark.range(number, number + 1).toDF("number").coalesce(1).write.mode("append").parquet(path)
+
+
+def _recorded(spark: SparkSession, path: str) -> DataFrame:
     try:
-        done = spark.read.schema("upto long").parquet(f"{path}/{_DONE}")
+        return spark.read.schema("number long").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return -1
-    return done.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
+        return spark.createDataFrame([], "number long")
+
+
+def _last_compaction(spark: SparkSession, path: str) -> int:
+    """The last batch in the newest finished compaction, or -1."""
+    return _recorded(spark, f"{path}/{_DONE}").agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0]
+
 
+def _batches_after(spark: SparkSession, path: str, done: int) -> list[int]:
+    """Recorded batches since the last compaction: as many as the stream has made since then."""
+    numbers = _recorded(spark, f"{path}/{_COMMITTED}").where(F.col("number") > done).distinct()
+    return sorted(r["number"] for r in numbers.collect())
 
-def _rows(spark: SparkSession, path: str, folded_upto: int) -> DataFrame:
-    batches = spark.read.parquet(f"{path}/{_BATCHES}")
-    batches = batches.where(F.col("batch_id") > folded_upto).drop("batch_id")
-    if folded_upto < 0:
-        return batches
-    return spark.read.parquet(f"{path}/{_FOLDED}/upto={folded_upto}").unionByName(batches)
+
+def _rows(spark: SparkSession, path: str, done: int, batches: Sequence[int]) -> DataFrame:
+    folded = spark.read.parquet(f"{path}/{_FOLDED}/upto={done}")
+    if not batches:
+        return folded
+    return folded.unionByName(spark.read.parquet(*(f"{path}/{_BATCHES}/batch_id={b}" for b in batches)))
 
 
 def read_current(
@@ -70,7 +88,8 @@ def read_current(
 ) -> DataFrame:
     """The current row per key. Every change is an upsert, unless ``op_column`` names the column
     that tells deletes: a key whose latest change is a delete is then left out."""
-    latest = dedup_latest(_rows(spark, path, _last_compaction(spark, path)), keys, sort, ties)
+    done = _last_compaction(spark, path)
+    latest = dedup_latest(_rows(spark, path, done, _batches_after(spark, path, done)), keys, sort, ties)
     if op_column is None:
         return latest
     return latest.where(~F.col(op_column).eqNullSafe(delete_op))
@@ -79,13 +98,19 @@ def read_current(
 def compact(
     spark: SparkSession, path: str, keys: str | Sequence[str], sort: str, ties: Sequence[str] | None = None
 ) -> int:
-    """Fold all stored batches into one and return the number of the last. Deletes are kept, since
-    they still hide older rows. Readers use the newest compaction and the batches after it; it
-    counts as finished once its number is recorded, so a compaction cut short is never read."""
+    """Fold all recorded batches into one and return the number of the last, -1 before the first.
+
+    Deletes are kept, since they still hide older rows. Readers use the newest compaction and the
+    batches after it; it counts as finished once its number is recorded, so a compaction cut short is
+    never read. What the compaction before it had folded is deleted: readers had that long to finish."""
     done = _last_compaction(spark, path)
-    upto = spark.read.parquet(f"{path}/{_BATCHES}").agg(F.max("batch_id").cast("long")).first()[0]
-    if upto > done:
-        latest = dedup_latest(_rows(spark, path, done), keys, sort, ties)
-        latest.write.mode("overwrite").parquet(f"{path}/{_FOLDED}/upto={upto}")
-        spark.range(upto, upto + 1).toDF("upto").write.mode("append").parquet(f"{path}/{_DONE}")
+    batches = _batches_after(spark, path, done)
+    if not batches:
+        return done
+    upto = batches[-1]
+    latest = dedup_latest(_rows(spark, path, done, batches), keys, sort, ties)
+    latest.write.mode("overwrite").parquet(f"{path}/{_FOLDED}/upto={upto}")
+    _record(spark, f"{path}/{_DONE}", upto)
+    for old in _recorded(spark, f"{path}/{_COMMITTED}").where(F.col("number") <= done).distinct().collect():
+        remove(spark, f"{path}/{_BATCHES}/batch_id={old['number']}")
     return upto

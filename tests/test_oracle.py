@@ -1,11 +1,8 @@
 """Every registered query against its SQL in DuckDB, at the smallest scale.
 
-``tools/compare.py`` does the same at any scale. The queries that write a folder per day for
-years of days take most of the time; they run with ALL_QUERIES=1.
+``tools/compare.py`` does the same at any scale.
 """
 
-import os
-
 import pytest
 
 from tablewright.plans.oracle import ORACLE
@@ -13,8 +10,7 @@ from tablewright.plans.queries import QUERIES
 from tests.conftest import SMALL
 from tools.compare import connect, difference
 
-SLOW = {"publish_verify_counts", "publish_twice", "chain_run_log_pass"}
-NAMES = [n for n in QUERIES if n not in SLOW or os.environ.get("ALL_QUERIES")]
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -55,3 +55,8 @@ def test_each_branch_reads_one_column(spark, executed, tmp_path):
     schemas = [part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]]
     assert sorted(schemas) == ["a:bigint", "b:bigint", "c:string"]
     assert "Expand" not in plan
+
+
+def test_fingerprints_see_where_a_null_stands(spark):
+    df = spark.createDataFrame([("x", None), (None, "x"), ("x", None), (None, None)], "a string, b string")
+    assert profile_table(df, "t", approx=True).first()["duplicate_count"] == 1

@@ -131,3 +131,9 @@ def test_schema(spark):
         require_columns(df, ["order_id", "payment_id"])
     with pytest.raises(ValueError, match="missing required columns"):
         enforce_schema(df)
+
+
+def test_all_checks_read_the_wide_row_once(spark, tmp_path):
+    wide(spark).write.parquet(f"{tmp_path}/wide")
+    checks = dq_checks(spark.read.parquet(f"{tmp_path}/wide"))
+    assert checks._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1

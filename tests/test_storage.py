@@ -19,24 +19,11 @@ from tablewright.sources.tables import read_table, read_tables
 from tests.test_quality import wide
 
 
-class Session:
-    """As much of a session as ``shared_dir`` looks at."""
-
-    def __init__(self, setting, master):
-        self.conf, self.sparkContext = {"spark.checkpoint.dir": setting} if setting else {}, self
-        self.master, self.applicationId = master, "test"
-
-    def getCheckpointDir(self):
-        return None
-
-
-def test_shared_dir_follows_the_session():
-    cluster = Session("s3a://shared/checkpoints/", "yarn")
-    first, second = shared_dir(cluster, "x"), shared_dir(cluster, "x")
-    assert first.startswith("s3a://shared/checkpoints/x-") and first != second
-    assert "tablewright-" in shared_dir(Session(None, "local[2]"), "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Session(None, "yarn"), "x")
+def test_shared_dir_follows_the_session(spark):
+    setting = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = setting or spark.conf.get("spark.sql.warehouse.dir")
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert first.startswith(base.rstrip("/")) and first != second
 
 
 def test_missing_tables(spark, tmp_path):
@@ -116,16 +103,29 @@ def test_publish_modes(spark, tmp_path):
     def load(mode, slices=slices, name="modes"):
         return {r["table"]: r["row_count"] for r in publish(spark, slices, name, str(tmp_path / name), mode=mode, buckets=2).collect()}
 
-    assert load("partitions") == counts
-    assert load("partitions") == counts  # publishing twice leaves one copy
+    assert load("upsert") == counts
+    assert load("upsert") == counts  # publishing twice leaves one copy
     assert load("append") == {t: 2 * n for t, n in counts.items()}
     assert load("replace") == counts
     moved = {**slices, "orders": slices["orders"].where("order_id <> 3")}
-    assert load("partitions", moved)["orders"] == 3  # the partition of 2024-01-02 is left alone
+    assert load("upsert", moved)["orders"] == 3  # the partition of 2024-01-02 is left alone
     assert load("replace", moved)["orders"] == 2
     assert {r["table"] for r in verify_counts(spark, "modes", ["orders"]).collect()} == {"orders"}
     with pytest.raises(ValueError):
         load("merge")
+    with pytest.raises(ValueError, match="no date partitions"):
+        load("partitions")
+
+
+def test_an_incremental_slice_deletes_nothing(spark, tmp_path):
+    spec = [SLICES[0]]
+    full = spark.range(10).select(F.col("id").alias("customer_id"), *[F.lit("old").alias(c) for c in SLICES[0].columns[1:]])
+    part = full.where("customer_id >= 8").union(full.selectExpr("customer_id + 100", *SLICES[0].columns[1:]).limit(1))
+    part = part.withColumn("customer_first_name", F.lit("new"))
+    for rows_now in (full, part):
+        publish(spark, {"customer": rows_now}, "keyed", str(tmp_path / "keyed"), spec)
+    stored = spark.table("keyed.customer").select("customer_id", "customer_first_name").collect()
+    assert len(stored) == 11 and sum(r["customer_first_name"] == "new" for r in stored) == 3
 
 
 def test_layout_of_published_tables(spark, tmp_path):

@@ -55,6 +55,24 @@ def test_an_unfinished_compaction_is_not_read(spark, changes, tmp_path):
     assert rows(read_current(spark, path, "k", "t")) == want
 
 
+def test_a_batch_being_written_is_neither_read_nor_folded(spark, changes, tmp_path):
+    path = str(tmp_path / "latest")
+    stream_latest(changes(), path, str(tmp_path / "cp"), "k", "t", once=True).awaitTermination()
+    want = rows(read_current(spark, path, "k", "t"))
+    spark.read.parquet(f"{path}/batches/batch_id=0").write.parquet(f"{path}/batches/batch_id=7")
+    assert compact(spark, path, "k", "t") < 7
+    assert rows(read_current(spark, path, "k", "t")) == want
+
+
+def test_before_the_first_batch(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    empty = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "none"))
+    path = str(tmp_path / "latest")
+    stream_latest(empty, path, str(tmp_path / "cp"), "k", "t", once=True).awaitTermination()
+    assert compact(spark, path, "k", "t") == -1
+    assert read_current(spark, path, "k", "t").count() == 0
+
+
 def test_landing_restarts_and_reloads(spark, changes, tmp_path):
     base, cp = str(tmp_path / "landed"), str(tmp_path / "cp")
     for _ in range(2):
