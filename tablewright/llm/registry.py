@@ -108,4 +108,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: SQL for DuckDB, where it can express a query.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM places
+), repeated AS (
+  SELECT doc_id, least(3, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 3)) AS own FROM windows WHERE n > 1
+), repeats AS (
+  SELECT doc_id, sum(own) AS n FROM repeated GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    coalesce(repeats.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN repeats USING (doc_id)
+), judged AS (
+  SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM measured
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * len(lines)
+    OR word_chars > 15 * n_words OR word_chars < 2 * n_words OR 2 * n_capitals > word_chars) AS kept
+FROM judged
+"""
+}
