@@ -6,7 +6,7 @@ probabilities of its hashed character 1- to 4-grams. A Viterbi pass over a docum
 of language costs ``penalty`` nats, labels spans; the document's language is the one with most letters.
 
 Training takes at most ``per_language`` labelled documents of every language, those with the smallest
-hashes of their ids, whole. The model has ``1 << FEATURE_BITS`` features a language.
+hashes of their ids, whole; only ids are shuffled to choose them. The model has ``1 << FEATURE_BITS`` features a language.
 
 Defined cases: a text that is null or has no letters is ``und`` with score 0 and no spans, and so is
 one whose letters no training language uses; without any training rows every text is. Ties go to the language
@@ -23,10 +23,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tablewright.llm.shared import give_back
+from tablewright.llm.shared import give_back, kept
 
 FEATURE_BITS = 16
 UNKNOWN = "und"
+#: The sample's ids are broadcast up to this many (16 MB of longs), and joined by a shuffle beyond.
+MOST_BROADCAST = 1 << 21
 #: First letters of ranges of code points that one script uses, and its name.
 SCRIPTS = (
     (0x0000, "latin"),
@@ -112,7 +114,10 @@ def train(
     order = Window.partitionBy("lang").orderBy("dealt", "id")
     ids = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("dealt"))
     ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    sample = labelled.join(ids.select(F.col("id").alias("__id")).distinct(), F.col(id_col) == F.col("__id"), "left_semi")
+    chosen = kept(ids.select(F.col("id").alias("__id")).distinct())
+    if chosen.count() <= MOST_BROADCAST:
+        chosen = F.broadcast(chosen)
+    sample = labelled.join(chosen, F.col(id_col) == F.col("__id"), "left_semi")
 
     def count(batches):
         for batch in batches:
