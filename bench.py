@@ -34,6 +34,9 @@ HEADLINE = (
     "repair_wide",
     "route_pass",
     "chain_published_orders",
+    "publish_verify_counts",
+    "chain_run_log_pass",
+    "land_changes_daily",
     "stream_latest_events",
 )
 RUNS = 3

@@ -27,3 +27,9 @@ def bad_date(column: str, date_format: str = DATE_FORMAT) -> Column:
     """True where a present value does not parse as a date."""
     value = F.col(column)
     return value.isNotNull() & F.try_to_date(value, date_format).isNull()
+
+
+def bad_number(column: str) -> Column:
+    """True where a present value is no number."""
+    value = F.col(column)
+    return value.isNotNull() & value.try_cast("double").isNull()

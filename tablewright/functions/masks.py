@@ -10,26 +10,33 @@ NOT_AN_EMAIL = "****@****.***"
 SHORT_LOCAL_PART = "**"
 
 
-def _stars(count: Column) -> Column:
-    return F.repeat(F.lit(STAR), count)
+# Each mask is one SQL text over a value ``{v}``, for columns and for SQL functions alike.
+PARTIAL = (
+    f"CASE WHEN char_length({{v}}) <= 4 THEN repeat('{STAR}', char_length({{v}})) "
+    f"ELSE concat(left({{v}}, 2), repeat('{STAR}', char_length({{v}}) - 4), right({{v}}, 2)) END"
+)
+EMAIL = (
+    f"CASE WHEN instr({{v}}, '@') = 0 THEN '{NOT_AN_EMAIL}' "
+    f"WHEN instr({{v}}, '@') > 3 THEN concat(left({{v}}, 2), repeat('{STAR}', instr({{v}}, '@') - 3), "
+    "substring({v}, instr({v}, '@'))) "
+    f"WHEN instr({{v}}, '@') > 0 THEN concat('{SHORT_LOCAL_PART}', substring({{v}}, instr({{v}}, '@'))) END"
+)
+
+
+def _text(column: str) -> str:
+    """A column's name, quoted part by part, as text."""
+    quoted = column if "`" in column else ".".join(f"`{part}`" for part in column.split("."))
+    return f"CAST({quoted} AS STRING)"
 
 
 def partial_mask(column: str) -> Column:
     """Keep the first and last two characters; values of up to four characters become stars only."""
-    text = F.col(column).cast("string")
-    length = F.char_length(text)
-    ends_kept = F.concat(F.left(text, F.lit(2)), _stars(length - 4), F.right(text, F.lit(2)))
-    return F.when(length <= 4, _stars(length)).otherwise(ends_kept)
+    return F.expr(PARTIAL.format(v=_text(column)))
 
 
 def email_mask(column: str) -> Column:
     """Keep the domain and two characters of the part before the first ``@``."""
-    text = F.col(column).cast("string")
-    at = F.instr(text, "@")
-    local = at - 1
-    hidden = F.when(local > 2, F.concat(F.left(text, F.lit(2)), _stars(local - 2))).otherwise(SHORT_LOCAL_PART)
-    with_domain = F.concat(hidden, F.substring(text, at, F.char_length(text)))
-    return F.when(at == 0, NOT_AN_EMAIL).when(at > 0, with_domain)
+    return F.expr(EMAIL.format(v=_text(column)))
 
 
 def sha256_hex(column: str, salt: str = "") -> Column:
@@ -40,18 +47,7 @@ def sha256_hex(column: str, salt: str = "") -> Column:
 
 MASKS = {"partial": partial_mask, "email": email_mask, "hash": sha256_hex}
 
-SQL_FUNCTIONS = {
-    "partial_mask": """
-        CASE WHEN char_length(v) <= 4 THEN repeat('*', char_length(v))
-             ELSE concat(left(v, 2), repeat('*', char_length(v) - 4), right(v, 2)) END""",
-    "mask_email": """
-        CASE WHEN v IS NULL THEN NULL
-             WHEN instr(v, '@') = 0 THEN '****@****.***'
-             WHEN instr(v, '@') > 3
-               THEN concat(left(v, 2), repeat('*', instr(v, '@') - 3), substring(v, instr(v, '@')))
-             ELSE concat('**', substring(v, instr(v, '@'))) END""",
-    "sha256_hash": "sha2(v, 256)",
-}
+SQL_FUNCTIONS = {"partial_mask": PARTIAL.format(v="v"), "mask_email": EMAIL.format(v="v"), "sha256_hash": "sha2(v, 256)"}
 
 
 def register_sql_functions(spark: SparkSession) -> None:

@@ -135,6 +135,7 @@ class QualityRules:
     ranges: dict[str, tuple[float, float]] = field(default_factory=lambda: dict(NUMERIC_RANGES))
     email_columns: tuple[str, ...] = EMAIL_COLUMNS
     phone_columns: tuple[str, ...] = PHONE_COLUMNS
+    date_columns: tuple[str, ...] = DATE_COLUMNS
     duplicate_key: str = "order_id"
     enforce_duplicates: bool = False
     pass_threshold: float = PASS_THRESHOLD

@@ -7,12 +7,15 @@ columns they name and a shuffle of one row per task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablewright.functions.formats import bad_date, bad_format, out_of_range
+from tablewright.functions.formats import bad_date, bad_format, bad_number, out_of_range
 from tablewright.model import CRITICAL_COLUMNS, DATE_FORMAT, NUMERIC_RANGES, QualityRules
+from tablewright.operators.schema import cast_failures
 
+CHECK_SCHEMA = "check string, column string, failed_count long, passed boolean"
 RowCheck = tuple[str, str, Column]  # check name, column, condition under which a row fails
 
 
@@ -151,6 +154,36 @@ def dq_checks(
     return result
 
 
+def source_checks(tables: Mapping[str, DataFrame], rules: QualityRules = QualityRules()) -> DataFrame:
+    """What only the raw tables can show, one row per check: formats before masking, dates and numbers that will not
+    parse, orders of unknown customers. Tables and columns that are absent are skipped.
+
+    One pass over the columns named per table; orders are folded to their customers before the anti join.
+    """
+    results = []
+    for df in tables.values():
+        types = dict(df.dtypes)
+        checks = _format_checks([c for c in rules.email_columns if c in types], "email")
+        checks += _format_checks([c for c in rules.phone_columns if c in types], "phone")
+        checks += [("date_format", c, bad_date(c)) for c in rules.date_columns if types.get(c) == "string"]
+        checks += [("number_format", c, bad_number(c)) for c in rules.ranges if types.get(c) == "string"]
+        if checks:
+            results.append(check_rows(df, checks))
+    if {"orders", "customer"} <= set(tables):
+        results.append(check_referential(tables["orders"], tables["customer"]))
+    if not results:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], CHECK_SCHEMA)
+    return reduce(DataFrame.unionByName, results)
+
+
+def check_casts(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: values of ``df`` that are present and would be lost when cast to ``schema``. Columns that
+    ``df`` lacks are skipped."""
+    failures = cast_failures(df, T.StructType([f for f in schema.fields if f.name in df.columns]))
+    lost = F.coalesce(F.sum("failed_count"), F.lit(0)).cast("long")
+    return failures.agg(lost.alias("n")).select(F.inline(F.array(_row("schema_cast", "wide", F.col("n"), F.col("n") == 0))))
+
+
 def dq_score(checks: DataFrame, pass_threshold: float = QualityRules().pass_threshold) -> DataFrame:
     """One row: checks, passed checks, percentage and PASS or FAIL. No checks score 0."""
     counts = checks.agg(

@@ -8,19 +8,19 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablewright.model import HASH_COLUMNS, MASKING_RULES, SLICES, TABLES, QualityRules, SliceSpec, TableSpec
+from tablewright.model import HASH_COLUMNS, MASKING_RULES, SLICES, TABLES, QualityRules, SliceSpec, TableSpec, wide_schema
 from tablewright.operators.dedup import dedup_latest
 from tablewright.operators.integrate import integrate
 from tablewright.operators.mask import mask_pii
 from tablewright.operators.profile import profile, row_metrics
-from tablewright.operators.quality import dq_checks, dq_score, route_by_status
+from tablewright.operators.quality import check_casts, dq_checks, dq_score, route_by_status, source_checks
 from tablewright.operators.repair import repair
 from tablewright.operators.schema import enforce_schema
 from tablewright.operators.slices import split_slices
 from tablewright.sinks.catalog import publish
 from tablewright.sinks.reports import dq_report, profile_report, write_report
 from tablewright.sinks.runs import write_run
-from tablewright.sources.runs import latest_run, new_run_ts, read_layer, read_run
+from tablewright.sources.runs import finished_runs, new_run_ts, read_layer, read_run
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,8 @@ class ChainConfig:
     database: str = "curated"
     publish_mode: str = "replace"  # the chain publishes full snapshots
     provider: str = "parquet"
-    buckets: int = 64
+    buckets: int | None = None  # by the size of the table
+    all_checks: bool = True  # False: the score counts the eight checks of the wide row alone
     profile: bool = True
     approx_profile: bool = False
     keep_dedup_layer: bool = False
@@ -95,11 +96,11 @@ def run_log(spark: SparkSession, base: str) -> DataFrame:
 
 
 def latest_of(spark: SparkSession, base: str, stage: str) -> str:
-    """The latest run of a stage."""
-    run_ts = latest_run(run_log(spark, base).where(F.col("stage") == stage)).first()["run_ts"]
-    if run_ts is None:
+    """The latest run of a stage, from the names in the run log."""
+    runs = finished_runs(spark, f"{base}/runs/stage={stage}")
+    if not runs:
         raise ValueError(f"stage {stage!r} has not run yet")
-    return run_ts
+    return runs[-1]
 
 
 def _rows(frames: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -127,7 +128,9 @@ def mask_stage(
     config: ChainConfig = ChainConfig(),
 ) -> None:
     """Deduplicate and mask the raw tables. Both share one write, so that deduplicated clear text
-    is stored only with ``keep_dedup_layer``."""
+    is stored only with ``keep_dedup_layer``. Checks that need clear or raw text run here and are stored
+    for the quality stage."""
+    write_run(source_checks(tables, config.quality), f"{base}/logs/source_checks", run_ts)
     deduplicated = deduplicate(tables, config.tables)
     if config.keep_dedup_layer:
         for name, df in deduplicated.items():
@@ -163,10 +166,20 @@ def quality_stage(
     input_run_ts: str | None = None,
     config: ChainConfig = ChainConfig(),
 ) -> str:
-    """Check, repair and route the wide rows of a run, by default the latest; returns the status."""
+    """Check, repair and route the wide rows of a run, by default the latest; returns the status.
+
+    All checks are stored: those of the wide row, the casts to the target schema, and what the mask stage of the
+    same run found in the raw tables, whose comparison of orders with customers takes the place of the wide row's with
+    itself. ``all_checks=False`` keeps to the wide row's eight."""
     input_run_ts = input_run_ts or latest_of(spark, base, "integrate")
     wide = read_run(spark, f"{base}/processed", input_run_ts)
-    write_run(dq_checks(wide, config.quality), f"{base}/logs/dq_checks", run_ts)
+    checks = dq_checks(wide, config.quality)
+    if config.all_checks:
+        mask_ts = read_run(spark, f"{base}/runs/stage=integrate", input_run_ts).first()["input_run_ts"]
+        own = checks.where(F.col("check") != "referential_integrity")
+        found = read_run(spark, f"{base}/logs/source_checks", mask_ts)
+        checks = own.unionByName(check_casts(wide, wide_schema())).unionByName(found)
+    write_run(checks, f"{base}/logs/dq_checks", run_ts)
     checks = read_run(spark, f"{base}/logs/dq_checks", run_ts)
     score = dq_score(checks, config.quality.pass_threshold)
     write_report(dq_report(checks, score, wide, run_ts), f"{base}/logs/dq", run_ts)

@@ -448,6 +448,27 @@ ORACLE: dict[str, str] = {
     "chain_published_orders": _sql("SELECT * FROM slice_orders", clean=True),
     "chain_run_log_pass": _sql(_run_log(clean=True), clean=True),
     "chain_run_log_fail": _sql(_run_log(clean=False)),
+    **{f"chain_tables_{name}": _sql(f"SELECT * FROM slice_{name}", clean=True) for name in SLICE_COLUMNS},
+    "chain_dq_checks": _sql(
+        " UNION ALL ".join(
+            [
+                _CHECKS,
+                _orphan_check("raw_orders", "raw_customer"),
+                _format_check("email", EMAIL_PATTERN),
+                _format_check("phone", PHONE_PATTERN),
+                _date_check("orders", "order_date"),
+                _date_check("payments", "payment_date"),
+                "SELECT 'number_format', 'order_amount', count(*), count(*) = 0 FROM raw_orders "
+                "WHERE order_amount IS NOT NULL AND TRY_CAST(order_amount AS DOUBLE) IS NULL",
+                "SELECT 'schema_cast', 'wide', 0, true",
+            ]
+        ),
+        raw_orders="SELECT * REPLACE (CASE WHEN order_id % 107 = 0 THEN '12,50' "
+        f"ELSE CAST(order_amount AS VARCHAR) END AS order_amount) FROM ({_raw('orders')})",
+    ),
+    "landed_reload_tables": (
+        "SELECT 'customer' AS \"table\", c_custkey AS id FROM customer UNION ALL SELECT 'orders', o_orderkey FROM orders"
+    ),
     "land_changes_daily": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1",
     "land_reload": f"SELECT {', '.join(_EVENTS)} FROM events",
     "stream_latest_events": _latest("events", _EVENTS, ["user_id"], "ts"),

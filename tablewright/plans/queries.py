@@ -43,9 +43,16 @@ from tablewright.session import shared_dir
 from tablewright.sinks.catalog import publish
 from tablewright.sinks.reports import dq_report, profile_report, write_report
 from tablewright.sinks.runs import write_run
-from tablewright.sources.runs import dq_report_for, latest_run, read_latest, read_layer, read_run
+from tablewright.sources.runs import last_run, read_last, read_report, read_run
 from tablewright.sources.tables import read_table, read_tables
-from tablewright.streaming.landing import LANDING_DATE, land_changes, read_changes, read_landed
+from tablewright.streaming.landing import (
+    LANDING_DATE,
+    finish_load,
+    land_changes,
+    read_changes,
+    read_landed,
+    read_landed_tables,
+)
 from tablewright.streaming.latest import compact, read_current, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -488,23 +495,26 @@ def profile_table_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- runs and layers -----------------------------------------------------------------------
 
 
-def _order_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders stored as one run per year of their date."""
+def _order_years(spark: SparkSession, sf_dir: str) -> str:
+    """A layer with orders as one run per year of their date, and one that is still being written."""
     base = shared_dir(spark, "years")
     orders = source(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    runs = orders.withColumn("run_ts", F.concat(F.col("year").cast("string"), F.lit("1231_000000"))).drop("year")
-    runs.write.partitionBy("run_ts").parquet(base)
-    return read_layer(spark, base)
+    orders.write.partitionBy("year").parquet(f"{base}/by_year")
+    stored = spark.read.parquet(f"{base}/by_year")
+    for (year,) in stored.select("year").distinct().collect():  # as many rows as years
+        write_run(stored.where(F.col("year") == year).drop("year"), f"{base}/runs", f"{year}1231_000000")
+    source(spark, sf_dir, "region").write.parquet(f"{base}/runs/run_ts=99991231_000000/_temporary/0")
+    return f"{base}/runs"
 
 
 @query
 def latest_run_of_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_run(_order_years(spark, sf_dir))
+    return spark.createDataFrame([(last_run(spark, _order_years(spark, sf_dir)),)], "run_ts string")
 
 
 @query
 def read_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_latest(_order_years(spark, sf_dir))
+    return read_last(spark, _order_years(spark, sf_dir))
 
 
 @query
@@ -523,7 +533,7 @@ def dq_report_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "reports")
     write_run(dq_checks(_wide(spark, sf_dir, clean=True)), base, "20240101_000000")
     write_run(dq_checks(_wide(spark, sf_dir)), base, "20240102_000000")
-    return failed_details(dq_report_for(read_layer(spark, base), "20240103_000000"))
+    return failed_details(read_report(spark, base, "20240103_000000"))
 
 
 @query
@@ -534,7 +544,7 @@ def raw_recursive_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchase = F.col("event_type") == "purchase"
     events.where(purchase).write.parquet(f"{base}/events/2024/01/02")
     events.where(~purchase).write.mode("append").parquet(f"{base}/events")
-    return read_table(spark, f"{base}/events")
+    return read_table(spark, f"{base}/events", recursive=True)
 
 
 @query
@@ -558,7 +568,7 @@ def chain_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _chain(spark: SparkSession, sf_dir: str, clean: bool) -> DataFrame:
     base = shared_dir(spark, "chain")
-    config = ChainConfig(database="chain_" + base[-8:])
+    config = ChainConfig(database="chain_" + base[-8:], all_checks=False)
     return run_chain(spark, raw_tables(spark, sf_dir, clean), base, RUN, config).drop("run_ts")
 
 
@@ -572,6 +582,32 @@ def chain_run_log_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chain(spark, sf_dir, clean=False)
 
 
+def _chain_table(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The rows of a catalog table that the whole chain has published."""
+        base = shared_dir(spark, "chain")
+        config = ChainConfig(database="chain_" + base[-8:], slices=[SLICE[name]], profile=False, all_checks=False)
+        run_chain(spark, raw_tables(spark, sf_dir, clean=True), base, RUN, config)
+        return spark.table(f"{config.database}.{name}")
+
+    return run
+
+
+for _name in SLICE:
+    QUERIES[f"chain_tables_{_name}"] = _chain_table(_name)
+
+
+@query
+def chain_dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks that a run of the chain has stored, over tables in which some amounts are no numbers."""
+    base = shared_dir(spark, "checks")
+    tables = raw_tables(spark, sf_dir)
+    text = F.when(F.col("order_id") % 107 == 0, "12,50").otherwise(F.col("order_amount").cast("string"))
+    tables["orders"] = tables["orders"].withColumn("order_amount", text)
+    run_chain(spark, tables, base, RUN, ChainConfig(database="checks_" + base[-8:], profile=False))
+    return read_run(spark, f"{base}/logs/dq_checks", RUN)
+
+
 # -- streams -------------------------------------------------------------------------------
 
 
@@ -602,6 +638,22 @@ def land_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, f"{base}/data", "20240102_000000").drop(LANDING_DATE)
 
 
+@query
+def landed_reload_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables landed twice, and once more without an end: readers get the second load, as the tables were."""
+    base = shared_dir(spark, "landed")
+    for load_ts, finished in (("20240101_000000", True), ("20240102_000000", True), ("20240103_000000", False)):
+        for name in ("customer", "orders"):
+            changes = _stream(spark, sf_dir, name)
+            land_changes(changes, f"{base}/data/{name}", f"{base}/checkpoint/{name}", load_ts, once=True).awaitTermination()
+            if finished:
+                finish_load(spark, f"{base}/data/{name}", load_ts)
+    tables = read_landed_tables(spark, f"{base}/data")
+    return tables["customer"].select(F.lit("customer").alias("table"), F.col("c_custkey").alias("id")).unionByName(
+        tables["orders"].select(F.lit("orders").alias("table"), F.col("o_orderkey").alias("id"))
+    )
+
+
 @query
 def stream_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest event per user, from a stream of several files and a compaction in between."""

@@ -43,6 +43,23 @@ def remove(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
+def folders(spark: SparkSession, path: str, holding: str) -> list[str]:
+    """Names of the folders right below ``path`` that have a file ``holding``, sorted; none where ``path`` is absent.
+
+    One listing and a look into each folder; no data file is opened."""
+    files, parent = _file_system(spark, path), spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not files.exists(parent):
+        return []
+    within = spark._jvm.org.apache.hadoop.fs.Path
+    found = [s.getPath().getName() for s in files.listStatus(parent) if s.isDirectory()]
+    return sorted(name for name in found if files.exists(within(f"{path}/{name}/{holding}")))
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    _file_system(spark, path).create(spark._jvm.org.apache.hadoop.fs.Path(path), True).close()
+
+
 def _file_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def list_tables(spark: SparkSession, url: str, schema: str, properties: Mapping[str, str]) -> list[str]:
-    """The base tables of a schema, from the database's own catalog."""
+    """The base tables of a schema, from the database's own catalog, named so that ``read_jdbc_table`` finds them
+    wherever the schema lies on the search path."""
     query = (
         "(SELECT table_name FROM information_schema.tables "
         f"WHERE table_schema = '{schema}' AND table_type = 'BASE TABLE') t"
     )
-    return [row[0] for row in spark.read.jdbc(url, query, properties=dict(properties)).collect()]
+    return [f"{schema}.{row[0]}" for row in spark.read.jdbc(url, query, properties=dict(properties)).collect()]
 
 
 def read_jdbc_table(
@@ -24,7 +25,7 @@ def read_jdbc_table(
     partitions: int = 32,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One table, read by ``partitions`` parallel queries over ranges of its numeric ``key``.
+    """One table, read by ``partitions`` parallel queries over ranges of its ``key``, a number, date or timestamp.
 
     The bounds only place the range limits; rows outside them, and NULL keys, still arrive.
     Without a key the table comes through one connection.
@@ -37,15 +38,9 @@ def read_jdbc_table(
     low, high = bounds if bounds is not None else (None, None)
     if low is None or low == high:
         return spark.read.jdbc(url, table, properties=properties)
-    return spark.read.jdbc(
-        url,
-        table,
-        column=key,
-        lowerBound=int(low),
-        upperBound=int(high),
-        numPartitions=partitions,
-        properties=properties,
-    )
+    # As options the bounds may be text, which dates need; the method's own arguments are integers.
+    ranges = {"partitionColumn": key, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions)}
+    return spark.read.jdbc(url, table, properties={**properties, **ranges})
 
 
 def read_jdbc_tables(

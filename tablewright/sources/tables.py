@@ -17,12 +17,13 @@ def read_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
-    recursive: bool = True,
+    recursive: bool = False,
     on_missing: str = "raise",
 ) -> DataFrame | None:
     """One Parquet table. Pass a schema to spare the footer read that infers it.
 
-    ``recursive`` also finds files in plain date folders below ``path``. A missing path raises,
+    ``recursive`` also finds files in plain date folders below ``path``; it gives up partition columns, so
+    landed loads are for ``read_landed_tables``. A missing path raises,
     or gives None with ``on_missing="skip"``; other errors always raise.
     """
     if on_missing not in ("raise", "skip"):
@@ -45,7 +46,8 @@ def read_tables(
     specs: Iterable[TableSpec] = TABLES,
     on_missing: str = "skip",
     suffix: str = "",
+    recursive: bool = False,
 ) -> dict[str, DataFrame]:
     """The tables of ``specs`` below ``base`` by name; missing ones are absent under ``"skip"``."""
-    tables = {s.name: read_table(spark, f"{base}/{s.name}{suffix}", on_missing=on_missing) for s in specs}
+    tables = {s.name: read_table(spark, f"{base}/{s.name}{suffix}", recursive=recursive, on_missing=on_missing) for s in specs}
     return {name: df for name, df in tables.items() if df is not None}

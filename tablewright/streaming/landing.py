@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tablewright.model import TABLES, TableSpec
+from tablewright.session import folders, mark
+
 LANDING_DATE = "landing_date"
+#: Marks a load that readers may use; the name's underscore hides it from them.
+LOADED = "_LOADED"
 
 
 def read_changes(
@@ -52,3 +59,22 @@ def land_changes(
 def read_landed(spark: SparkSession, base: str, load_ts: str) -> DataFrame:
     """The rows of one load, as committed by the stream: files of failed attempts are not read."""
     return spark.read.parquet(f"{base}/load_ts={load_ts}")
+
+
+def finish_load(spark: SparkSession, base: str, load_ts: str) -> None:
+    """Let readers use a load: its first pass over the source is through. Changes may go on landing in it."""
+    mark(spark, f"{base}/load_ts={load_ts}/{LOADED}")
+
+
+def last_load(spark: SparkSession, base: str) -> str | None:
+    """The latest load that was finished, or None."""
+    loads = [name for name in folders(spark, base, LOADED) if name.startswith("load_ts=")]
+    return loads[-1].removeprefix("load_ts=") if loads else None
+
+
+def read_landed_tables(spark: SparkSession, base: str, specs: Iterable[TableSpec] = TABLES) -> dict[str, DataFrame]:
+    """The landed tables below ``base`` by name, each from its latest finished load, through the stream's commit log.
+
+    They have the columns of their source, as the chain takes them. Tables without a finished load are absent."""
+    loads = {s.name: last_load(spark, f"{base}/{s.name}") for s in specs}
+    return {n: read_landed(spark, f"{base}/{n}", ts).drop(LANDING_DATE) for n, ts in loads.items() if ts}

@@ -43,7 +43,7 @@ def log(df):
 
 
 def test_passing_run_is_published(spark, tables, tmp_path):
-    config = ChainConfig(database="chain_pass", buckets=2, keep_dedup_layer=True, salt="s")
+    config = ChainConfig(database="chain_pass", buckets=2, keep_dedup_layer=True, salt="s", all_checks=False)
     got = log(run_chain(spark, tables, str(tmp_path), "20240101_000000", config))
     assert got["mask", "customer"] == (3, 2, "DONE")
     assert got["integrate", "wide"] == (2 + 1 + 3 + 2, 3, "DONE")
@@ -68,7 +68,7 @@ def test_passing_run_is_published(spark, tables, tmp_path):
 
 
 def test_failing_run_is_kept_apart(spark, tables, tmp_path):
-    config = ChainConfig(database="chain_fail", buckets=2, profile=False)
+    config = ChainConfig(database="chain_fail", buckets=2, profile=False, all_checks=False)
     run_chain(spark, tables, str(tmp_path), "20240101_000000", config)
     before = spark.table("chain_fail.orders").count()
     tables["orders"] = tables["orders"].selectExpr("order_id", "customer_id", "order_date", "-1D AS order_amount", "order_status")
@@ -80,8 +80,21 @@ def test_failing_run_is_kept_apart(spark, tables, tmp_path):
     assert rejected.count() == 2
 
 
+def test_the_gate_runs_every_check(spark, tables, tmp_path):
+    tables["orders"] = tables["orders"].selectExpr(
+        "order_id", "customer_id", "order_date", "if(order_id = 11, '12,50', string(order_amount)) AS order_amount", "order_status"
+    )
+    config = ChainConfig(database="chain_checks", buckets=2, profile=False)
+    got = log(run_chain(spark, tables, str(tmp_path), "1", config))
+    checks = {(r["check"], r["column"]): r["failed_count"] for r in spark.read.parquet(f"{tmp_path}/logs/dq_checks/run_ts=1").collect()}
+    found = {k: n for k, n in checks.items() if n}
+    assert found == {("phone_format", "phone"): 1, ("referential_integrity", "customer_id"): 1, ("number_format", "order_amount"): 1, ("duplicate_check", "order_id"): 1}
+    assert checks["email_format", "email"] == checks["date_format", "order_date"] == checks["schema_cast", "wide"] == 0
+    assert got["quality", "wide"][2] == "FAIL"
+
+
 def test_stages_by_themselves(spark, tables, tmp_path):
-    base, config = str(tmp_path), ChainConfig(database="chain_stages", buckets=2)
+    base, config = str(tmp_path), ChainConfig(database="chain_stages", buckets=2, all_checks=False)
     mask_stage(spark, tables, base, "1_a", config)
     with pytest.raises(ValueError, match="'integrate' has not run"):
         quality_stage(spark, base, "1_c", config=config)

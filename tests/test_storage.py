@@ -14,7 +14,18 @@ from tablewright.sinks.catalog import create_table, publish, verify_counts
 from tablewright.sinks.reports import write_report
 from tablewright.sinks.runs import write_run
 from tablewright.sources.relational import list_tables, read_jdbc_tables
-from tablewright.sources.runs import dq_report_for, latest_run, new_run_ts, read_latest, read_layer, read_run
+from tablewright.sources.runs import (
+    dq_report_for,
+    finished_runs,
+    last_run,
+    latest_run,
+    new_run_ts,
+    read_last,
+    read_latest,
+    read_layer,
+    read_report,
+    read_run,
+)
 from tablewright.sources.tables import read_table, read_tables
 from tests.test_quality import wide
 
@@ -41,9 +52,9 @@ def test_date_folders_are_read(spark, tmp_path):
     base = str(tmp_path / "raw")
     spark.range(2).write.parquet(f"{base}/2024/01/02")
     spark.range(3).write.mode("append").parquet(base)
-    assert read_table(spark, base).count() == 5
-    assert read_table(spark, base, schema=spark.range(1).schema).count() == 5
-    assert read_table(spark, base, recursive=False).count() == 3
+    assert read_table(spark, base, recursive=True).count() == 5
+    assert read_table(spark, base, schema=spark.range(1).schema, recursive=True).count() == 5
+    assert read_table(spark, base).count() == 3
 
 
 def test_runs(spark, tmp_path):
@@ -69,6 +80,20 @@ def test_latest_run_prunes_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(run_ts" in plan
 
 
+def test_last_run_opens_no_older_file_and_no_unfinished_run(spark, tmp_path):
+    base = str(tmp_path / "layer")
+    with pytest.raises(ValueError, match="no finished run"):
+        last_run(spark, base)
+    for day in (1, 2):
+        write_run(spark.range(day), base, f"2024010{day}_000000")
+    spark.range(9).write.parquet(f"{base}/run_ts=20240103_000000/_temporary/0")
+    assert finished_runs(spark, base) == ["20240101_000000", "20240102_000000"]
+    assert all("run_ts=20240102_000000" in f for f in read_last(spark, base).inputFiles())
+    assert [(r["id"], r["run_ts"]) for r in read_last(spark, base).collect()] == [(0, "20240102_000000"), (1, "20240102_000000")]
+    assert read_report(spark, base, "20240101_000000").count() == 1
+    assert read_report(spark, base, "20990101_000000").count() == 2
+
+
 def test_report_is_one_json_document(spark, tmp_path):
     path = write_report(spark.sql("SELECT 'x' job, map('t', struct(1 AS row_count)) tables"), str(tmp_path), "1")
     (text,) = [r[0] for r in spark.read.text(path).collect()]
@@ -169,14 +194,16 @@ class FakeReader:
 
 
 def test_jdbc_reads_by_key_ranges():
-    reader = FakeReader({"min(order_id)": [(5, 905)], "min(empty_id)": [(None, None)], "information_schema": [("orders",), ("notes",)]})
-    assert list_tables(reader, "jdbc:x", "public", {}) == ["orders", "notes"]
+    reader = FakeReader({"min(order_id)": [(5, 905)], "min(empty_id)": [(None, None)], "information_schema": [("orders",), ("notes",)], "min(day)": [(datetime.date(2024, 1, 1), datetime.date(2024, 2, 1))]})
+    assert list_tables(reader, "jdbc:x", "public", {}) == ["public.orders", "public.notes"]
     reader.calls.clear()
-    frames = read_jdbc_tables(reader, "jdbc:x", {"orders": "order_id", "notes": None, "empty": "empty_id"}, 8, {"user": "u"})
-    assert list(frames) == ["orders", "notes", "empty"]
+    frames = read_jdbc_tables(reader, "jdbc:x", {"orders": "order_id", "notes": None, "empty": "empty_id", "days": "day"}, 8, {"user": "u"})
+    assert list(frames) == ["orders", "notes", "empty", "days"]
     whole = [c for c in reader.calls if not c[0].startswith("(")]
-    assert whole[0] == ("orders", {"column": "order_id", "lowerBound": 5, "upperBound": 905, "numPartitions": 8, "properties": {"user": "u"}})
-    assert whole[1:] == [("notes", {"properties": {"user": "u"}}), ("empty", {"properties": {"user": "u"}})]
+    ranges = {"user": "u", "partitionColumn": "order_id", "lowerBound": "5", "upperBound": "905", "numPartitions": "8"}
+    assert whole[0] == ("orders", {"properties": ranges})
+    assert whole[1:3] == [("notes", {"properties": {"user": "u"}}), ("empty", {"properties": {"user": "u"}})]
+    assert whole[3][1]["properties"]["lowerBound"] == "2024-01-01"
 
 
 def test_a_hot_date_is_written_by_several_tasks(spark, conf, tmp_path):
