@@ -27,8 +27,8 @@ from tablewright.llm.shared import give_back, kept
 
 FEATURE_BITS = 16
 UNKNOWN = "und"
-#: Shares that the labelled ids of a language are ranked in first.
-SHARES = 256
+#: The labelled ids of a language are ranked in so many shares, one count after another.
+SHARES = (512, 16, 1)
 #: The sample's ids are broadcast up to this many (16 MB of longs), and joined by a shuffle beyond.
 MOST_BROADCAST = 1 << 21
 #: First letters of ranges of code points that one script uses, and its name.
@@ -114,10 +114,12 @@ def train(
     """Counts of grams and scripts by language, from a bounded sample that is not held out."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     ids = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("dealt"))
-    # Every task of the scan sends its smallest; the shares fold them before a language meets in one task.
-    ids = ids.withColumn("share", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SHARES)))
-    for keys in (["lang", "share"], ["lang"]):
-        order = Window.partitionBy(*keys).orderBy("dealt", "id")
+    # Every task of the scan sends its smallest; shares fold them, so that a language meets in one task only with
+    # 16 times ``per_language`` ids at most.
+    ids = ids.withColumn("spread", F.xxhash64("id", F.lit(1)))
+    for shares in SHARES:
+        ids = ids.withColumn("share", F.pmod("spread", F.lit(shares)))
+        order = Window.partitionBy("lang", "share").orderBy("dealt", "id")
         ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
     chosen = kept(ids.select(F.col("id").alias("__id")).distinct())
     if chosen.count() <= MOST_BROADCAST:
