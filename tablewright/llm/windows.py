@@ -11,13 +11,15 @@ only about 2 in ``window - gram + 2`` places are anchors. Three passes over the
    own, so no bucket gathers a hot gram. The bucket decides with the operator's own method;
 3. the answers are laid over the documents.
 
-Whole copies of a smaller document are settled by their digest and take no part. Batches are groups of
-about ``batch_bytes`` of text, dealt by a hash of the id, and each pass shuffles only what it adds: the
-documents are shuffled once, as Spark reuses that exchange.
+Whole copies of a smaller document are settled by their digest and take no part; they are known by id and
+digest, as ids may be null or repeated. Batches are groups of about ``batch_bytes`` of text, dealt by a hash
+of id and text, and each pass shuffles only what it adds: the documents are shuffled once, as Spark reuses
+that exchange.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -201,15 +203,24 @@ class Batch:
         self.replies = {COPIES: {}, GRAMS: {}, BLOCKS: {}}
         for row in replies.to_pylist() if replies is not None else []:
             self.replies[row["kind"]].setdefault(row["bucket"], []).append(row)
-        copies = [np.frombuffer(r["a"], np.int64) for r in self.replies[COPIES].get(0, [])]
-        self.copy = np.isin(self.ids, np.concatenate(copies)) if copies else np.zeros(len(self.ids), bool)
         self.texts = self.table["__text"].to_pylist()
+        self.copy = self._copied()
         self.kept = np.flatnonzero(~self.copy)
         self.tokens = tokenise([self.texts[i] for i in self.kept], unit.words)
         self.first, self.last, self.key = anchors(self.tokens, unit)
         self.key &= np.uint64(0xFFFFFFFFFFFF0000)
         self.doc = self.tokens.doc(self.first) if len(self.first) else self.first
 
+    def _copied(self) -> np.ndarray:
+        """Which documents are whole copies, by id and digest; only texts of ids that have a copy are hashed."""
+        out, known = np.zeros(len(self.ids), dtype=bool), {}
+        for row in self.replies[COPIES].get(0, []):
+            for k, i in enumerate(np.frombuffer(row["a"], np.int64).tolist()):
+                known.setdefault(i, set()).add(row["b"][32 * k : 32 * k + 32])
+        for k in np.flatnonzero(np.isin(self.ids, np.array(list(known), dtype=np.int64))):
+            out[k] = hashlib.sha256(self.texts[k]).digest() in known[int(self.ids[k])]
+        return out
+
     def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct grams, how many documents (or places) have each, and which is each anchor's."""
         keys, which = np.unique(self.key, return_inverse=True)
@@ -235,8 +246,9 @@ class Batch:
             hashed = self._windows(starts)
             first, last = np.concatenate([first, starts]), np.concatenate([last, starts])
             key, doc = np.concatenate([key, hashed]), np.concatenate([doc, np.repeat(self.doc[hot], each)])
-            order = np.argsort(first, kind="stable")
-            first, last, key, doc = first[order], last[order], key[order], doc[order]
+        # The first of equal blocks is the one with the least id and place, also where rows share an id.
+        order = np.lexsort((first - self.tokens.bounds[doc], self.ids[self.kept[doc]]))
+        first, last, key, doc = first[order], last[order], key[order], doc[order]
         raw, seen, heads = self.tokens.data.tobytes(), {}, []
         a, b = self.tokens.begin(first), self.tokens.end(last + self.unit.window - 1)
         record = np.zeros(len(first), dtype=np.int64)
@@ -389,7 +401,7 @@ def _batched(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int) -> t
     order = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     rest = [F.col(c) for c in docs.columns if c != text_col]
     return docs.select(
-        F.pmod(F.xxhash64(order), F.lit(n)).cast("int").alias("__batch"), order.alias("__id"), text.cast("binary").alias("__text"), *rest
+        F.pmod(F.xxhash64(order, text), F.lit(n)).cast("int").alias("__batch"), order.alias("__id"), text.cast("binary").alias("__text"), *rest
     ), n
 
 
@@ -400,10 +412,12 @@ def _copies(parts: DataFrame) -> DataFrame:
     )
     # A hot text is one row a batch by now.
     least = F.min("__least").over(Window.partitionBy("__digest"))
-    copies = own.withColumn("__least", least).select("__batch", F.explode(F.expr("filter(__ids, x -> x > __least)")).alias("__id"))
+    later = F.explode(F.expr("array_distinct(filter(__ids, x -> x > __least))")).alias("__id")
+    copies = own.withColumn("__least", least).select("__batch", "__digest", later)
 
     def gather(key, table):
-        return _rows([(key[0].as_py(), COPIES, 0, table["__id"].to_numpy().tobytes(), None, None, None)], REPLY)
+        ids, digests = table["__id"].to_numpy().tobytes(), b"".join(table["__digest"].to_pylist())
+        return _rows([(key[0].as_py(), COPIES, 0, ids, digests, None, None)], REPLY)
 
     return copies.groupBy("__batch").applyInArrow(gather, REPLY)
 

@@ -57,6 +57,30 @@ def test_repeated_rows_and_null_ids(spark):
     assert rows == {(1, 0), (None, len(text))}
 
 
+@pytest.mark.parametrize("settings", [{}, {"batch_bytes": 300, "hot": 3}])
+def test_copies_among_null_and_repeated_ids(spark, settings):
+    def text(k, n=60):
+        return " ".join(f"{k}w{i}" for i in range(n))
+
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (None, text("a")), (None, text("c")), (None, text("d") + " " + text("a"))]
+    rows += [(None, text("e") + " " + text("f")), (None, text("f") + " " + text("e"))]
+    # (id, text) to what is left of it; among rows of one id the earlier place stays (words), or both (bytes).
+    removed = {(5, text("a")), (None, text("a"))}
+    df = spark.createDataFrame([(i, t, t) for i, t in rows], "doc_id long, text string, whole string").repartition(3)
+    for f, left in ((remove_repeated_bytes, {text("d") + " "}), (remove_repeated_words, {text("d")})):
+        got = {(r["doc_id"], r["whole"]): bytes(r["kept"], "utf-8") if isinstance(r["kept"], str) else bytes(r["kept"]) for r in f(df, **settings).collect()}
+        assert len(got) == len(rows)
+        for i, t in rows:
+            if t.startswith("d"):
+                assert got[i, t].decode() in left
+            elif (i, t) in removed:
+                assert got[i, t] == b""
+            elif t[0] in "ef" and f is remove_repeated_words:
+                assert got[i, t].decode() == text(t[0])
+            else:
+                assert got[i, t].decode() == t
+
+
 def test_simhash(table, docs):
     rows = simhash.near_duplicates(table).collect()
     assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows} == brute.simhash(docs)
