@@ -12,8 +12,9 @@ most three of the other 24 bits have a value within one bit of one and two bits
 centre has at most 325 neighbours. So neither a list nor a task grows with a group of near copies,
 and only a spanning forest of every list leaves the task, never its pairs.
 
-Defined cases: null or empty text has fingerprint zero, linked like any other; repeated rows of an id stay rows;
-a null id counts as the largest and is never the name of a class that has another.
+Defined cases: null or empty text has fingerprint zero, linked like any other; repeated rows of an id stay rows.
+Classes join fingerprints, never ids: rows that share an id, or have none, meet only through their texts. A class
+is named by its smallest id; a class without any id has the name null.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.shared import buckets_for, components, forest, give_back, kept
+from tablewright.llm.shared import buckets_for, components, forest, give_back, kept, salted_join
 
 SEED = 42
 TRIPLES = [c for half in (range(4), range(4, 8)) for c in combinations(half, 3)]
@@ -166,22 +167,31 @@ def links(prints: DataFrame, bits: int = 3, hot: int = 2048) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3, hot: int = 2048
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    bits: int = 3,
+    hot: int = 2048,
+    class_col: str | None = None,
 ) -> DataFrame:
-    """The columns of ``docs`` but its text, with ``fingerprint`` (hex) and ``component_id``."""
-    order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    prints = kept(fingerprints(docs, text_col, shingle).withColumn("__name", order))
-    least = kept(prints.groupBy("__print").agg(F.min("__name").alias("__name")))
-    found = components(links(least, bits, hot))
-    named = least.join(found, least["__name"] == found["node"], "left").select(
-        "__print", F.coalesce("component", "__name").alias("component_id")
-    )
-    named = kept(named)
+    """The columns of ``docs`` but its text, with ``fingerprint`` (hex) and ``component_id``.
+
+    ``class_col`` names a column for the class itself, which tells classes without any id apart.
+    """
+    prints = kept(fingerprints(docs, text_col, shingle))
+    least = kept(prints.groupBy("__print").agg(F.min(F.col(id_col).cast("long")).alias("__least")))
+    found = components(links(least.select("__print", F.col("__print").alias("__name")), bits, hot))
+    named = kept(least.join(found, least["__print"] == found["node"], "left").select("__print", "__least", "component"))
+    linked = named.where("component is not null")
+    names = linked.groupBy(F.col("component").alias("__class")).agg(F.min("__least").alias("component_id"))
+    linked = salted_join(linked, names, [("component", "__class")], "inner", 32)
+    alone = named.where("component is null").select("__print", F.col("__print").alias("__class"), F.col("__least").alias("component_id"))
+    named = kept(linked.select("__print", "__class", "component_id").unionByName(alone))
+    named = named.withColumnRenamed("__class", class_col) if class_col else named.drop("__class")
     # Both sides are dealt by the fingerprint alone, so a hot fingerprint is split.
     return (
-        prints.drop("__name")
-        .join(named, "__print")
+        prints.join(named, "__print")
         .withColumn("fingerprint", F.lpad(F.lower(F.hex("__print")), 16, "0"))
-        .withColumn("component_id", F.when(F.col("component_id") != LAST_ID, F.col("component_id")))
         .drop("__print")
     )
