@@ -4,7 +4,8 @@ Sources get shares of the words to take by weight; a target stops at ``limit`` t
 excess is shared anew by weight. The schedule maps golden-ratio points through the cumulative targets: point s
 falls to one source, and the slots of each source are ranked. A source's documents, in an order shuffled by the
 hash of their ids, are cut into blocks of ``block`` words, and slot r takes block r modulo their number,
-until the source's target is met, the last slot in part. So targets are met to less than a word.
+until the source's target is met, the last slot in part. Where an interval gets fewer points than its source needs
+slots, exactly the missing ones follow after the last point. So targets are met to less than a word.
 
 All of it is joins, sums and windows. Running sums and ranks go over two levels (sums of about sqrt(n) groups,
 then within a group), so a hot source is never one task's. The sources themselves, one row each, are the
@@ -79,11 +80,10 @@ def schedule(goals: DataFrame, block: int) -> DataFrame:
     ends = quota.withColumn("high", F.sum("words").over(order) / total)
     ends = ends.withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0.0)))
     ends = kept(ends.withColumn("quota", F.ceil(F.col("words") / block)))
-    slots, longest = ends.agg(F.sum("quota"), F.max(F.col("quota") / (F.col("high") - F.col("low")))).first()
+    slots = ends.agg(F.sum("quota")).first()[0]
     if not slots:
         return ends.select("source", F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("rank"), F.lit(0).cast("long").alias("take")).limit(0)
-    # Golden-ratio points give an interval its share of slots but for a few; these few are added.
-    n = int(max(slots, longest) * 1.02) + 64
+    n = int(slots * 1.02) + 64
     group = max(1, int(n**0.5))
     points = goals.sparkSession.range(n).withColumn("point", F.col("id") * F.lit(GOLDEN) - F.floor(F.col("id") * F.lit(GOLDEN)))
     points = points.withColumn("cell", F.floor(F.col("point") * GRID))
@@ -92,7 +92,15 @@ def schedule(goals: DataFrame, block: int) -> DataFrame:
     dealt = points.join(cells, "cell").where("point >= low and point < high")
     dealt = dealt.select("source", "words", "quota", F.col("id").alias("slot"), F.floor(F.col("id") / group).alias("part"))
     ranked = _running(dealt, ["source"], "part", [F.col("slot")], F.lit(1)).where("before < quota")
-    return ranked.select(
+    ranked = kept(ranked.select("source", "words", "slot", "before"))
+    # Points give an interval its share of slots but for a few; every source's missing ones are added.
+    met = ranked.groupBy(F.col("source").alias("__source")).agg(F.count("*").alias("__met"))
+    short = ends.join(met, F.col("source").eqNullSafe(F.col("__source")), "left").withColumn("__met", F.coalesce("__met", F.lit(0)))
+    short = short.where("__met < quota").withColumn("lack", F.col("quota") - F.col("__met"))
+    earlier = F.coalesce(F.sum("lack").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    short = short.withColumn("slot", F.lit(n) + earlier).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lack") - 1)).alias("k"))
+    added = short.select("source", "words", (F.col("slot") + F.col("k")).alias("slot"), (F.col("__met") + F.col("k")).alias("before"))
+    return ranked.unionByName(added).select(
         "source", "slot", F.col("before").alias("rank"), F.least(F.lit(block).cast("long"), F.col("words") - F.col("before") * block).alias("take")
     )
 
