@@ -5,13 +5,15 @@ of pivots among the first ``prefix`` of that order; pairs of vectors that meet t
 share among their ``depth`` nearest counted, are kept at ``shared`` or more, and are verified by their cosine
 in double precision. A pair counts in the least list it shares, so nowhere twice.
 
-The pivots are a bounded sample, the ``pivots`` vectors with the smallest hashes of their ids; every vector is
-indexed. Equal vectors are one entry with a weight. Lists longer than ``block`` are cut into blocks and compared
+The pivots are chosen from a bounded sample, the ``sample`` vectors with the smallest hashes of their ids: in that
+order, a vector is a pivot if its cosine to every earlier pivot is below ``apart``, up to ``pivots``. So a group of
+near copies holds one pivot, however large it is, and its members agree on the order of the others. With
+fewer than two pivots all vectors are one list. Every vector is indexed. Equal vectors are one entry with a weight. Lists longer than ``block`` are cut into blocks and compared
 block against block in tasks of their own; what leaves a task is a count for each vector and a spanning
 forest, never pairs.
 
 Defined cases: null, empty or zero vectors and vectors with null or non-finite components link with nothing, as
-do vectors of another length than the pivots'; rows with one id and vector count as links of one another.
+do vectors of another length than the most frequent one (the longest of equals); rows with one id and vector count as links of one another.
 """
 
 from __future__ import annotations
@@ -42,7 +44,9 @@ def _unit(table: pa.Table, name: str) -> np.ndarray:
 
 
 def _keys(nearest: np.ndarray, prefix: int, pivots: int) -> np.ndarray:
-    """Pairs of pivots among the first ``prefix``, as numbers."""
+    """Pairs of pivots among the first ``prefix``, as numbers; one number for all where there is no pair."""
+    if prefix < 2:
+        return np.zeros((len(nearest), 1), dtype=np.int64)
     first = np.sort(nearest[:, :prefix], axis=1).astype(np.int64)
     return np.stack([first[:, i] * pivots + first[:, j] for i, j in combinations(range(prefix), 2)], axis=1)
 
@@ -52,6 +56,16 @@ def _describe(table: pa.Table, centres: np.ndarray, depth: int) -> tuple[np.ndar
     return x, np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :depth]
 
 
+def _apart(x: np.ndarray, most: int, limit: float) -> np.ndarray:
+    """The first ``most`` rows whose cosine to every earlier one of them is below ``limit``."""
+    chosen, nearest = [], np.full(len(x), -1.0)
+    for i in range(len(x)):
+        if nearest[i] < limit and len(chosen) < most:
+            chosen.append(i)
+            nearest = np.maximum(nearest, x @ x[i])
+    return x[chosen]
+
+
 def _list(x, weights, keys, near, block, own, cell, threshold, shared) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of one cell of a list: links counted by weight for each vector, and the linked pairs as numbers."""
     rows = np.flatnonzero(block == cell[0])
@@ -89,6 +103,8 @@ def near_vectors(
     depth: int = 10,
     shared: int = 3,
     block: int = 1024,
+    sample: int = 4096,
+    apart: float = 0.8,
 ) -> DataFrame:
     """One row for each vector: its id, ``n_links``, ``component_id`` and ``kept``."""
     spark = vectors.sparkSession
@@ -98,17 +114,16 @@ def near_vectors(
     entries = kept(
         usable.groupBy("__vector").agg(F.min("__id").alias("__name"), F.count("*").alias("__weight")).where("__name is not null")
     )
-    # The sample is bounded: `pivots` vectors.
-    sample = entries.orderBy(F.xxhash64("__name"), "__name").limit(pivots).select("__vector").collect()
+    size = entries.groupBy(F.size("__vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
     nothing = every.select(F.col("__id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("__id").alias("component_id"))
-    if not sample:
+    if not size:
         return nothing.withColumn("kept", F.lit(True))
-    size = max(len(r[0]) for r in sample)
-    centres = _unit(pa.table({"v": pa.array([r[0] for r in sample if len(r[0]) == size])}), "v")
+    same = entries.where(F.size("__vector") == size["size"])
+    # The sample is bounded: `sample` vectors.
+    drawn = same.orderBy(F.xxhash64("__name"), "__name").limit(max(sample, pivots)).select("__vector").collect()
+    centres = _apart(_unit(pa.table({"v": pa.array([r[0] for r in drawn])}), "v"), pivots, apart)
     n_pivots, depth = len(centres), min(depth, len(centres))
     prefix, shared = min(prefix, depth), min(shared, depth)
-    if prefix < 2:
-        raise ValueError("the index needs two pivots or more") if entries.count() > 1 else None
 
     def describe(batches):
         for batch in batches:
@@ -119,44 +134,40 @@ def near_vectors(
             for k in range(keys.shape[1]):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[:, k]), *batch.columns], names=["list", *batch.schema.names])
 
-    same = entries.where(F.size("__vector") == size)
-    lists = same.mapInArrow(describe, "list long, __vector array<double>, __name long, __weight long") if prefix > 1 else None
-    if lists is None:
-        found = kept(spark.createDataFrame([], FOUND))
-    else:
-        long = kept(lists.groupBy("list").count().where(F.col("count") > block).select("list", F.ceil(F.col("count") / block).cast("int").alias("cut")))
-        lists = lists.join(long, "list", "left").withColumn("cut", F.coalesce("cut", F.lit(1)))
-        lists = lists.withColumn("block", F.pmod(F.xxhash64("__name"), F.col("cut")).cast("int"))
-        cells = F.transform(F.sequence(F.lit(0), F.col("cut") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
-        lists = lists.select("*", F.explode(cells).alias("cell")).select("*", "cell.i", "cell.j").drop("cell", "cut")
-        n = buckets_for(spark, same.count() * prefix * (prefix - 1) // 2, 4 * block)
-
-        def compare(key, table):
-            order = np.lexsort((table["j"].to_numpy(), table["i"].to_numpy(), table["list"].to_numpy()))
-            table = table.take(pa.array(order))
-            x, nearest = _describe(table, centres, depth)
-            keys = _keys(nearest, prefix, n_pivots)
-            near = np.zeros((len(x), n_pivots), dtype=np.float32)
-            np.put_along_axis(near, nearest, 1, axis=1)
-            which, i, j, block_of, names, weights = (
-                table[c].to_numpy() for c in ("list", "i", "j", "block", "__name", "__weight")
-            )
-            cuts = np.flatnonzero(
-                np.concatenate([[True], (np.diff(which) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0), [True]])
-            )
-            out: list[tuple[int, int, int]] = []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if b - a < 2:
-                    continue
-                s = slice(a, b)
-                counts, p, q = _list(x[s], weights[s], keys[s], near[s], block_of[s], which[a], (i[a], j[a]), threshold, shared)
-                label = forest(b - a, p, q)
-                for k in np.flatnonzero(counts):
-                    out.append((int(names[a + k]), int(names[a + label[k]]), int(counts[k])))
-            a, b, c = zip(*out) if out else ((), (), ())
-            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(c, pa.int64())})
-
-        found = kept(lists.groupBy(F.pmod(F.xxhash64("list", "i", "j"), F.lit(n))).applyInArrow(compare, FOUND))
+    lists = same.mapInArrow(describe, "list long, __vector array<double>, __name long, __weight long")
+    long = kept(lists.groupBy("list").count().where(F.col("count") > block).select("list", F.ceil(F.col("count") / block).cast("int").alias("cut")))
+    lists = lists.join(long, "list", "left").withColumn("cut", F.coalesce("cut", F.lit(1)))
+    lists = lists.withColumn("block", F.pmod(F.xxhash64("__name"), F.col("cut")).cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("cut") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+    lists = lists.select("*", F.explode(cells).alias("cell")).select("*", "cell.i", "cell.j").drop("cell", "cut")
+    n = buckets_for(spark, same.count() * max(1, prefix * (prefix - 1) // 2), 4 * block)
+
+    def compare(key, table):
+        order = np.lexsort((table["j"].to_numpy(), table["i"].to_numpy(), table["list"].to_numpy()))
+        table = table.take(pa.array(order))
+        x, nearest = _describe(table, centres, depth)
+        keys = _keys(nearest, prefix, n_pivots)
+        near = np.zeros((len(x), n_pivots), dtype=np.float32)
+        np.put_along_axis(near, nearest, 1, axis=1)
+        which, i, j, block_of, names, weights = (
+            table[c].to_numpy() for c in ("list", "i", "j", "block", "__name", "__weight")
+        )
+        cuts = np.flatnonzero(
+            np.concatenate([[True], (np.diff(which) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0), [True]])
+        )
+        out: list[tuple[int, int, int]] = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b - a < 2:
+                continue
+            s = slice(a, b)
+            counts, p, q = _list(x[s], weights[s], keys[s], near[s], block_of[s], which[a], (i[a], j[a]), threshold, shared)
+            label = forest(b - a, p, q)
+            for k in np.flatnonzero(counts):
+                out.append((int(names[a + k]), int(names[a + label[k]]), int(counts[k])))
+        a, b, c = zip(*out) if out else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(c, pa.int64())})
+
+    found = kept(lists.groupBy(F.pmod(F.xxhash64("list", "i", "j"), F.lit(n))).applyInArrow(compare, FOUND))
     classes = components(found.select("a", "b"))
     counted = found.groupBy(F.col("a").alias("__name")).agg(F.sum("n").alias("__links"))
     named = kept(
