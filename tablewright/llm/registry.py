@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
+from tablewright.llm import pieces
 from tablewright.llm.bpe import decode, encode
 from tablewright.llm.language import held_out, identify, train
 from tablewright.llm.mixing import mix
 from tablewright.llm.pivots import near_vectors
 from tablewright.llm.quality import BASE, POLICIES, ledger, passes
 from tablewright.llm.quotes import link_quotes
+from tablewright.llm.runs import periodic_runs, plant, run_digests
 from tablewright.llm.simhash import near_duplicates
+from tablewright.llm.spelling import variants, word_counts
 from tablewright.llm.substring import remove_repeated_words
 from tablewright.llm.suffix_dedup import remove_repeated_bytes
 from tablewright.llm.warc import read_archive, write_archive
@@ -86,6 +89,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(_texts(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(plant(_texts(spark, sf_dir)))).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    )
+
+
+def op12_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    done = pieces.decode(pieces.encode(_texts(spark, sf_dir), path).drop("text"), path)
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_spelling_variant_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = word_counts(_texts(spark, sf_dir), id_col="doc_id", damage=199)
+    return variants(counts.where("n >= 5"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -103,6 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing_sources,
         op9_warc,
         op10_substring_dedup,
+        op11_periodic_runs,
+        op12_sentencepiece_encoding_and_decoding,
+        op13_spelling_variant_grouping,
         pipeline,
     )
 }
