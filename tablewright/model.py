@@ -21,8 +21,8 @@ class TableSpec:
 class SliceSpec:
     """One published table cut from the wide row.
 
-    ``partition_by`` suits columns with few values (dates); ``bucket_by`` suits ids,
-    where a partition per value would leave one tiny file per customer.
+    ``partition_by`` names a date, by whose day, month or year (``grain``) the table is laid out; ``bucket_by`` suits
+    ids, where a partition per value would leave one tiny file per customer.
     """
 
     name: str
@@ -30,6 +30,7 @@ class SliceSpec:
     columns: tuple[str, ...]
     partition_by: str | None = None
     bucket_by: str | None = None
+    grain: str = "month"
 
 
 # They must agree with the tables and rules being replaced.

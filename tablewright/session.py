@@ -55,6 +55,23 @@ def folders(spark: SparkSession, path: str, holding: str) -> list[str]:
     return sorted(name for name in found if files.exists(within(f"{path}/{name}/{holding}")))
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``, sorted; none where it is absent. One listing."""
+    files, parent = _file_system(spark, path), spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not files.exists(parent):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(parent) if s.isDirectory())
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below ``path``, but for hidden ones; none where it is absent. One listing."""
+    files, parent = _file_system(spark, path), spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not files.exists(parent):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(parent) if s.isFile()]
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     _file_system(spark, path).create(spark._jvm.org.apache.hadoop.fs.Path(path), True).close()

@@ -1,24 +1,47 @@
-"""Publishing slices as catalog tables."""
+"""Publishing slices as catalog tables.
+
+Nothing that readers use is ever overwritten. What is new is written whole to a version folder below the table's,
+``v=<number>``; then the catalog is pointed to it: the table as a whole, or each date partition that changed. A write
+that fails leaves the table as it was, and a driver lost between two partitions leaves both readable, each in its old or new
+version; publishing again finishes the job, since all modes but ``append`` may be repeated. The version before
+the last is deleted, as queries that read it had a whole load's time to end. A table has one writer at a time.
+"""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+import datetime
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tablewright.model import SLICES, SliceSpec
 from tablewright.operators.profile import row_metrics
+from tablewright.session import mark, remove, subfolders
 
 #: About 256 MB of a narrow table.
 ROWS_PER_BUCKET = 4_000_000
 MODES = ("upsert", "partitions", "replace", "append")
+GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
+#: Partition of the rows without a date.
+NO_DATE = "none"
+#: Partitions named in one statement.
+STATEMENT = 500
+
+
+def partition_column(spec: SliceSpec) -> str:
+    """The column that date tables are laid out by: the day, month or year of their date, as text."""
+    return f"{spec.partition_by}_{spec.grain}"
+
+
+def _partition(spec: SliceSpec) -> Column:
+    return F.coalesce(F.date_format(spec.partition_by, GRAINS[spec.grain]), F.lit(NO_DATE))
 
 
 def _layout(spec: SliceSpec, provider: str, buckets: int) -> str:
+    if spec.partition_by and provider == "iceberg":
+        return f"PARTITIONED BY ({spec.grain}s({spec.partition_by}))"
     if spec.partition_by:
-        return f"PARTITIONED BY ({spec.partition_by})"
+        return f"PARTITIONED BY ({partition_column(spec)} STRING)"
     if spec.bucket_by and provider == "iceberg":
         return f"PARTITIONED BY (bucket({buckets}, {spec.bucket_by}))"
     if spec.bucket_by:
@@ -38,8 +61,10 @@ def create_table(
 ) -> str:
     """Create database and table where absent, with the columns of ``df``; returns the table's name.
 
-    Dates become partitions. Ids become hash buckets, which also let later joins on the id skip
-    their shuffle; a partition per id would mean a folder per customer.
+    Dates become partitions by ``spec.grain``: a folder per day costs the driver a rename and the catalog an entry for each
+    of some thousand days, while rows sorted by day inside a month are skipped by their files' statistics. Ids
+    become hash buckets, which also let later joins on the id skip their shuffle; a partition per id would
+    mean a folder per customer.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{warehouse}'")
     table = f"{database}.{spec.name}"
@@ -52,47 +77,164 @@ def create_table(
     return table
 
 
-def _arranged(df: DataFrame, spec: SliceSpec, buckets: int) -> DataFrame:
-    """Group rows as the table stores them, so that each task writes few files. A rebalance lets
-    adaptive execution split a date that holds a third of the rows; buckets hold unique ids."""
-    if spec.partition_by:
-        return df.hint("rebalance", spec.partition_by)
-    if spec.bucket_by:
-        return df.repartition(buckets, spec.bucket_by)
-    return df
+def _described(spark: SparkSession, table: str, partition: str = "") -> dict[str, str]:
+    """What the catalog knows of a table, or of one of its partitions, whose facts come before the table's."""
+    rows = spark.sql(f"DESCRIBE EXTENDED {table} {partition}").collect()
+    return {r["col_name"]: r["data_type"] for r in reversed(rows)}
+
+
+def _named(column: str, label: str) -> str:
+    return f"PARTITION ({column} = '{label}')"
+
 
+def _labels(spark: SparkSession, table: str) -> set[str]:
+    """The partitions of a table: as many as days, months or years."""
+    return {r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
 
-@contextmanager
-def _overwriting(spark: SparkSession, scope: str) -> Iterator[None]:
-    """Set what an overwrite replaces; ``insertInto`` takes this from the session alone."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, scope)
+
+class _Versions:
+    """The version folders of a table."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.stored = [name for name in subfolders(spark, root) if name.startswith("v=")]
+        number = max((int(name[2:]) for name in self.stored), default=0) + 1
+        self.new = f"v={number:06d}"
+        self.path = f"{root}/{self.new}"
+
+    def clean(self, keep: Iterable[str], untouched: set[str] | None = None) -> None:
+        """Delete versions of the table, or of all partitions but ``untouched`` ones, but for the new one and what ``keep``
+        names; and version folders that hold nothing but what a failed write has left."""
+        keep = {k.rstrip("/").split(f"{self.root.rsplit('/', 1)[-1]}/v=", 1)[-1] for k in keep}
+        for version in self.stored:
+            inside = f"{self.root}/{version}"
+            if untouched is None:
+                if version[2:] not in keep:
+                    remove(self.spark, inside)
+                continue
+            here = {name for name in subfolders(self.spark, inside) if not name.startswith(("_", "."))}
+            for name in here - untouched:
+                if f"{version[2:]}/{name}" not in keep:
+                    remove(self.spark, f"{inside}/{name}")
+                    here.discard(name)
+            if not here:
+                remove(self.spark, inside)
+
+
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows that are counted while they are written; no job of its own."""
+    observed = Observation()
+    return rows.observe(observed, F.count(F.lit(1)).alias("rows")), observed
+
+
+def _count(observed: Observation) -> int:
+    return observed.get.get("rows", 0)
+
+
+def _replace_buckets(spark: SparkSession, rows: DataFrame, table: str, spec: SliceSpec, versions: _Versions) -> int:
+    """Write a whole version of a table without dates, and point the table to it in one step. Bucketed files need a
+    table to be written through: one of the same layout, which is dropped again."""
+    known = _described(spark, table)
+    staging = f"{table}__{versions.new[2:]}"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    spark.sql(f"CREATE TABLE {staging} LIKE {table} LOCATION '{versions.path}'")
     try:
-        yield
+        if spec.bucket_by:
+            rows = rows.repartition(int(known["Num Buckets"]), spec.bucket_by)
+        rows, observed = _counted(rows)
+        rows.write.insertInto(staging)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{versions.path}'")
+    except Exception:
+        remove(spark, versions.path)
+        raise
     finally:
-        spark.conf.set(setting, before)
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    spark.catalog.refreshTable(table)
+    versions.clean([known["Location"]])
+    return _count(observed)
 
 
-def _write_iceberg(rows: DataFrame, table: str, mode: str) -> None:
-    writer = rows.writeTo(table)
-    if mode == "append":
-        writer.append()
-    elif mode == "partitions":
-        writer.overwritePartitions()
-    else:
-        writer.overwrite(F.lit(True))
+def _replace_partitions(
+    spark: SparkSession, rows: DataFrame, table: str, spec: SliceSpec, versions: _Versions, touched: set[str]
+) -> int:
+    """Write a version of the partitions of ``rows`` and point the catalog to them; those of ``touched`` that have no
+    rows any more are dropped. A rebalance lets adaptive execution split a date that holds a third of the rows."""
+    column = partition_column(spec)
+    rows = rows.withColumn(column, _partition(spec)).hint("rebalance", column)
+    rows, observed = _counted(rows.sortWithinPartitions(column, spec.partition_by, spec.key))
+    try:
+        rows.write.partitionBy(column).parquet(versions.path)
+    except Exception:
+        remove(spark, versions.path)
+        raise
+    written = {name.split("=", 1)[1] for name in subfolders(spark, versions.path) if name.startswith(f"{column}=")}
+    known = _labels(spark, table)
+    swapped = sorted(written & known)
+    gone = sorted((touched - written) & known)
+    before = [_described(spark, table, _named(column, label))["Location"] for label in swapped + gone]
+    _add(spark, table, column, sorted(written - known), versions.path)
+    for label in swapped:
+        spark.sql(f"ALTER TABLE {table} {_named(column, label)} SET LOCATION '{versions.path}/{column}={label}'")
+    for label in gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_named(column, label)}")
+    spark.catalog.refreshTable(table)
+    versions.clean(before, {f"{column}={label}" for label in known - written - touched})
+    return _count(observed)
+
+
+def _add(spark: SparkSession, table: str, column: str, labels: Sequence[str], path: str) -> None:
+    for i in range(0, len(labels), STATEMENT):
+        parts = " ".join(f"{_named(column, x)} LOCATION '{path}/{column}={x}'" for x in labels[i : i + STATEMENT])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
 
 
-def _with_stored(spark: SparkSession, rows: DataFrame, table: str, spec: SliceSpec, warehouse: str) -> DataFrame:
-    """The new rows and the stored rows of other keys, laid beside the table that they will replace.
+def _append(spark: SparkSession, rows: DataFrame, table: str, spec: SliceSpec, versions: _Versions) -> None:
+    """Add rows to the versions that are in use; new dates get a version of their own first."""
+    if spec.partition_by:
+        column = partition_column(spec)
+        rows = rows.withColumn(column, _partition(spec))
+        labels = {r[0] for r in rows.select(column).distinct().collect()}  # as many as months
+        new = sorted(labels - _labels(spark, table))
+        for label in new:
+            mark(spark, f"{versions.path}/{column}={label}/_NEW")
+        _add(spark, table, column, new, versions.path)
+        rows = rows.hint("rebalance", column)
+    elif spec.bucket_by:
+        if not versions.stored:
+            mark(spark, f"{versions.path}/_NEW")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{versions.path}'")
+        rows = rows.repartition(int(_described(spark, table)["Num Buckets"]), spec.bucket_by)
+    rows.write.insertInto(table)
+
 
-    The folder stays if the overwrite fails, as it then is the only whole copy."""
-    keys = rows.select(F.col(spec.key).alias("_new")).distinct()
-    others = spark.table(table).join(keys, F.col(spec.key).eqNullSafe(F.col("_new")), "left_anti")
-    beside = f"{warehouse}/_upsert/{spec.name}-{uuid.uuid4().hex}"
-    others.select(*rows.columns).unionByName(rows).write.parquet(beside)
-    return spark.read.parquet(beside)
+def _merged(spark: SparkSession, rows: DataFrame, table: str, spec: SliceSpec, column: str) -> tuple[DataFrame, set[str]]:
+    """The new rows and the stored rows that stay, of the partitions that change, and the names of those: where the new
+    rows belong and where rows of the same key lie now. Keys and partition alone are read to find them."""
+    stored, new = spark.table(table), F.col("_new")
+    values = rows.select(F.col(column).alias("_new")).distinct()
+    if not spec.partition_by:
+        return stored.join(values, F.col(column).eqNullSafe(new), "left_anti").select(*rows.columns).unionByName(rows), set()
+    part = partition_column(spec)
+    homes = stored.select(column, part).join(values, F.col(column).eqNullSafe(new), "left_semi").select(part)
+    labels = homes.unionByName(rows.select(_partition(spec).alias(part))).distinct()
+    touched = {r[0] for r in labels.collect()}  # as many as months
+    others = stored.where(F.col(part).isin(sorted(touched))).join(values, F.col(column).eqNullSafe(new), "left_anti")
+    return others.select(*rows.columns).unionByName(rows), touched
+
+
+def _write_iceberg(spark: SparkSession, rows: DataFrame, table: str, mode: str, spec: SliceSpec) -> None:
+    if mode == "append":
+        rows.writeTo(table).append()
+    elif mode == "partitions":
+        rows.writeTo(table).overwritePartitions()
+    elif mode == "replace":
+        rows.writeTo(table).overwrite(F.lit(True))
+    else:
+        spark.sql(
+            f"MERGE INTO {table} t USING {{rows}} r ON t.{spec.key} <=> r.{spec.key} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+            rows=rows,
+        )
 
 
 def publish(
@@ -107,36 +249,80 @@ def publish(
 ) -> DataFrame:
     """Create the tables where absent, load the slices and return row counts per table.
 
-    ``upsert`` overwrites the date partitions that occur in the new rows, and in bucketed tables the
-    rows whose key occurs, so publishing twice leaves one copy and an incremental slice deletes
-    nothing. ``partitions`` does the former alone and refuses bucketed tables. ``replace`` overwrites
-    every table whole, which suits full snapshots: a row whose date has changed leaves nothing
-    behind. ``append`` adds rows on every call. Without ``buckets`` a new table gets one for every
-    ``ROWS_PER_BUCKET`` of its first rows.
+    ``upsert`` replaces the rows whose key occurs in the new rows, wherever they lie, and deletes nothing else, so
+    publishing twice leaves one copy and a row whose date has moved stays once. Of date tables only the
+    partitions that lose or gain rows are written anew. ``partitions`` replaces all rows of the dates that occur in
+    the new ones, and refuses tables without dates. ``replace`` replaces tables whole, which suits full
+    snapshots. ``append`` adds rows on every call. New rows have one row a key, as ``cut_slice`` gives them.
+    Without ``buckets`` a new table gets one for every ``ROWS_PER_BUCKET`` of its first rows.
+
+    Counts of replaced tables are taken while they are written, the others' by ``verify_counts``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     whole = [s.name for s in specs if not s.partition_by]
     if mode == "partitions" and whole:
         raise ValueError(f"{whole} have no date partitions; use mode='upsert'")
+    counts: dict[str, int] = {}
     for spec in specs:
-        rows = slices[spec.name]
-        parts = buckets or (rows.count() // ROWS_PER_BUCKET + 1 if spec.bucket_by else 1)
-        table = create_table(spark, rows, spec, database, warehouse, provider, parts)
-        columns = spark.table(table).columns
-        if mode == "upsert" and spec.bucket_by:
-            rows = _with_stored(spark, rows.select(*columns), table, spec, warehouse)
-        rows = _arranged(rows, spec, parts).select(*columns)
+        rows, root = slices[spec.name], f"{warehouse}/{spec.name}"
+        staged = None
+        table = f"{database}.{spec.name}"
+        there = spark.catalog.tableExists(table)
+        sized = spec.bucket_by and not there and not buckets
+        if provider != "iceberg" and (sized or (there and mode in ("upsert", "partitions"))):
+            # The new rows are read more than once: to size buckets, to find their keys, to be stored.
+            staged = f"{root}/_incoming"
+            rows, observed = _counted(rows)
+            rows.write.mode("overwrite").parquet(staged)
+            rows = spark.read.schema(slices[spec.name].schema).parquet(staged)
+        parts = buckets or (_count(observed) // ROWS_PER_BUCKET + 1 if staged and sized else 64)
+        create_table(spark, rows, spec, database, warehouse, provider, parts)
         if provider == "iceberg":
-            by_date = "partitions" if spec.partition_by else "replace"
-            _write_iceberg(rows, table, by_date if mode == "upsert" else mode)
+            _write_iceberg(spark, rows.select(*slices[spec.name].columns), table, mode, spec)
+            continue
+        columns = [c for c in spark.table(table).columns if not (spec.partition_by and c == partition_column(spec))]
+        rows = rows.select(*columns)
+        versions = _Versions(spark, root)
+        touched: set[str] = set()
+        if mode == "append":
+            _append(spark, rows, table, spec, versions)
         else:
-            by_date = bool(spec.partition_by) and mode in ("upsert", "partitions")
-            with _overwriting(rows.sparkSession, "dynamic" if by_date else "static"):
-                rows.write.insertInto(table, overwrite=mode != "append")
+            if mode == "replace" and spec.partition_by:
+                touched = _labels(spark, table)
+            elif mode != "replace" and there:
+                rows, touched = _merged(spark, rows, table, spec, spec.key if mode == "upsert" else spec.partition_by)
+            if spec.partition_by:
+                written = _replace_partitions(spark, rows, table, spec, versions, touched)
+            else:
+                written = _replace_buckets(spark, rows, table, spec, versions)
+            if mode == "replace":
+                counts[spec.name] = written
+        if staged:
+            remove(spark, staged)
+    if len(counts) == len(specs) and counts:
+        return spark.createDataFrame(list(counts.items()), "table string, row_count long")
     return verify_counts(spark, database, [s.name for s in specs])
 
 
+def read_published(
+    spark: SparkSession,
+    database: str,
+    spec: SliceSpec,
+    since: datetime.date | None = None,
+    until: datetime.date | None = None,
+) -> DataFrame:
+    """The columns of a published slice, of the dates from ``since`` to ``until``, both included: other partitions are
+    pruned, and files inside skip by their dates. A bound leaves rows without a date out."""
+    rows = spark.table(f"{database}.{spec.name}")
+    for bound, below in ((since, False), (until, True)):
+        if bound is not None:
+            day, label = F.lit(bound), F.date_format(F.lit(bound), GRAINS[spec.grain])
+            date, part = F.col(spec.partition_by), F.col(partition_column(spec))
+            rows = rows.where((date <= day) & (part <= label) if below else (date >= day) & (part >= label))
+    return rows.select(*spec.columns)
+
+
 def verify_counts(spark: SparkSession, database: str, tables: Sequence[str]) -> DataFrame:
     """Rows per published table, counted from the stored files."""
     counts = row_metrics({t: spark.table(f"{database}.{t}") for t in tables})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def profile_report(table_metrics: DataFrame, column_metrics: DataFrame, run_ts: str) -> DataFrame:
@@ -25,9 +25,13 @@ def profile_report(table_metrics: DataFrame, column_metrics: DataFrame, run_ts:
 
 
 def dq_report(checks: DataFrame, score: DataFrame, wide: DataFrame, run_ts: str) -> DataFrame:
-    """One row: the score of a run and the list of its failed checks."""
+    """One row: the score of a run, the list of its failed checks, and those that failed without being scored."""
     detail = F.struct("check", "column", "failed_count")
-    failed = checks.agg(F.sort_array(F.collect_list(F.when(~F.col("passed"), detail))).alias("failed_checks"))
+    scored = F.col("scored") if "scored" in checks.columns else F.lit(True)
+
+    def failed(condition: Column) -> Column:
+        return checks.agg(F.sort_array(F.collect_list(F.when(~F.col("passed") & condition, detail)))).scalar()
+
     return score.select(
         F.lit("dq_check").alias("job"),
         F.lit(run_ts).alias("run_timestamp"),
@@ -37,7 +41,8 @@ def dq_report(checks: DataFrame, score: DataFrame, wide: DataFrame, run_ts: str)
         "dq_score_pct",
         "dq_status",
         "pass_threshold",
-        failed.scalar().alias("failed_checks"),
+        failed(scored).alias("failed_checks"),
+        failed(~scored).alias("unscored_failures"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def write_run(df: DataFrame, base: str, run_ts: str, *partition_by: str, compression: str = "snappy") -> str:
@@ -17,3 +17,11 @@ def write_run(df: DataFrame, base: str, run_ts: str, *partition_by: str, compres
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def write_counted(df: DataFrame, base: str, run_ts: str, *partition_by: str) -> int:
+    """``write_run`` that returns the number of rows, observed while they are written: no job of its own, and no row
+    twice, as Spark takes each partition of a write once."""
+    observed = Observation()
+    write_run(df.observe(observed, F.count(F.lit(1)).alias("rows")), base, run_ts, *partition_by)
+    return observed.get.get("rows", 0)
