@@ -87,7 +87,11 @@ def integrate(
     """
     people = join_customer_address(customer, address)
     paid = join_orders_payments(orders, payments)
-    joined = left_join(people, paid, "customer_id", right_keys=orders)
+    return finish_wide(left_join(people, paid, "customer_id", right_keys=orders), drop_columns)
+
+
+def finish_wide(joined: DataFrame, drop_columns: Sequence[str] = ()) -> DataFrame:
+    """The joined tables as the wide row: renamed, parsed, with the total."""
     wide = rename_columns(standardize_payments(standardize_orders(joined)), {**CUSTOMER_NAMES, **ADDRESS_NAMES})
     wide = wide.select(
         "order_id",

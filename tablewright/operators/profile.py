@@ -14,8 +14,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tablewright.functions.bitmaps import bits_for, flag_maybe, key_bits
 from tablewright.functions.formats import bad_format
 from tablewright.model import EMAIL_COLUMNS, PHONE_COLUMNS
+from tablewright.session import shared_dir
 
 COLUMN_METRICS = T.StructType(
     [
@@ -123,6 +125,36 @@ def profile_table(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
     )
 
 
+def profile_wide_table(df: DataFrame, table: str, fingerprint_bits: int = 64) -> DataFrame:
+    """The row of ``profile_table``, exact, for tables too wide to shuffle whole.
+
+    Two hashes of every row are shuffled instead of the row. A fingerprint that one row has stands for a distinct row;
+    rows are compared whole only where fingerprints meet. A bitmap of those fingerprints keeps the other rows out of
+    the second shuffle. ``fingerprint_bits`` below 64 shortens the hashes, for tests of rows whose fingerprints collide.
+    """
+    cells = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    shift = 64 - fingerprint_bits
+    marks = {f"_h{i}": F.shiftrightunsigned(F.xxhash64(F.lit(i), *cells), shift) for i in (1, 2)}
+    marked = df.withColumns(marks)
+    # Read three times: once for the counts, twice for what is repeated.
+    stored = shared_dir(df.sparkSession, "fingerprints")
+    marked.groupBy(*marks).agg(F.count("*").alias(_N)).write.parquet(stored)
+    folded = df.sparkSession.read.parquet(stored)
+    bits = bits_for(df.count())  # over stored tables from the files' footers
+    repeated = folded.where(F.col(_N) > 1).select(*marks)
+    maybe = flag_maybe(marked, "_h1", key_bits(repeated, "_h1", bits), bits, "_maybe").where("_maybe").drop("_maybe")
+    candidates = maybe.join(repeated, list(marks), "left_semi")
+    whole = candidates.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias(_N)).agg(F.count("*"))
+    zero = F.lit(0).cast("long")
+    counts = folded.agg(F.coalesce(F.sum(_N), zero).alias("row_count"), F.count_if(F.col(_N) == 1).alias("single"))
+    return counts.select(
+        F.lit(table).alias("table"),
+        "row_count",
+        F.lit(len(df.columns)).cast("long").alias("column_count"),
+        (F.col("row_count") - F.col("single") - whole.scalar()).alias("duplicate_count"),
+    )
+
+
 def row_metrics(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per named frame; over stored Parquet tables it reads only file footers."""
     counts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name, df in frames.items()]

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tablewright.functions.bitmaps import bits_for, flag_maybe, key_bits
 from tablewright.functions.formats import bad_date, bad_format, bad_number, out_of_range
 from tablewright.model import CRITICAL_COLUMNS, DATE_FORMAT, NUMERIC_RANGES, QualityRules
 from tablewright.operators.schema import cast_failures
@@ -114,9 +115,22 @@ def orphan_counts(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return per_key.join(parent.select(key).distinct(), key, "left_anti")
 
 
-def check_referential(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Rows of ``child`` whose key is missing from ``parent``."""
-    counts = orphan_counts(child, parent, key).agg(
+def orphan_counts_sifted(child: DataFrame, parent: DataFrame, key: str, bits: int | None = None) -> DataFrame:
+    """``orphan_counts`` with the keys that are surely missing folded into one NULL key before the shuffle.
+
+    A bitmap over the parent's hashed keys tells them: rows of ``child`` that it rules out need neither shuffle nor join,
+    and only the rest meets the parent. The bitmap is broadcast; its size follows the parent's rows up to a fixed bound.
+    """
+    bits = bits or bits_for(parent.count())
+    marked = flag_maybe(child.select(key), key, key_bits(parent.select(key), key, bits), bits, "_maybe")
+    return orphan_counts(marked.select(F.when(F.col("_maybe"), F.col(key)).alias(key)), parent, key)
+
+
+def check_referential(
+    child: DataFrame, parent: DataFrame, key: str = "customer_id", sifted: bool = False
+) -> DataFrame:
+    """Rows of ``child`` whose key is missing from ``parent``. ``sifted`` suits children with many orphans."""
+    counts = (orphan_counts_sifted if sifted else orphan_counts)(child, parent, key).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("failed_count")
     )
     return counts.select(
@@ -127,6 +141,29 @@ def check_referential(child: DataFrame, parent: DataFrame, key: str = "customer_
     )
 
 
+def wide_row_checks(wide: DataFrame, rules: QualityRules = QualityRules(), own_parent: bool = True) -> list[RowCheck]:
+    """The checks of the wide row that look at one row at a time."""
+    present = set(wide.columns)
+    has_order = F.col(rules.duplicate_key).isNotNull()
+    checks = _null_checks([c for c in rules.critical_columns if c in present], has_order)
+    checks += _format_checks([c for c in rules.email_columns if c in present], "email")
+    checks += _format_checks([c for c in rules.phone_columns if c in present], "phone")
+    checks += _range_checks({c: r for c, r in rules.ranges.items() if c in present})
+    if own_parent:
+        checks.append(("referential_integrity", "customer_id", has_order & F.col("customer_id").isNull()))
+    return checks
+
+
+def source_row_checks(df: DataFrame, rules: QualityRules = QualityRules()) -> list[RowCheck]:
+    """The checks of a raw table that look at one row at a time."""
+    types = dict(df.dtypes)
+    checks = _format_checks([c for c in rules.email_columns if c in types], "email")
+    checks += _format_checks([c for c in rules.phone_columns if c in types], "phone")
+    checks += [("date_format", c, bad_date(c)) for c in rules.date_columns if types.get(c) == "string"]
+    checks += [("number_format", c, bad_number(c)) for c in rules.ranges if types.get(c) == "string"]
+    return checks
+
+
 def dq_checks(
     wide: DataFrame,
     rules: QualityRules = QualityRules(),
@@ -140,15 +177,7 @@ def dq_checks(
     order of an unknown customer never gets into it. Without them the check compares the wide
     row with its own customers, under which only a NULL customer can fail, so it needs no join.
     """
-    present = set(wide.columns)
-    has_order = F.col(rules.duplicate_key).isNotNull()
-    checks = _null_checks([c for c in rules.critical_columns if c in present], has_order)
-    checks += _format_checks([c for c in rules.email_columns if c in present], "email")
-    checks += _format_checks([c for c in rules.phone_columns if c in present], "phone")
-    checks += _range_checks({c: r for c, r in rules.ranges.items() if c in present})
-    if parent is None:
-        checks.append(("referential_integrity", "customer_id", has_order & F.col("customer_id").isNull()))
-    result = _one_pass(wide, checks, rules)
+    result = _one_pass(wide, wide_row_checks(wide, rules, own_parent=parent is None), rules)
     if parent is not None:
         result = result.unionByName(check_referential(wide if child is None else child, parent))
     return result
@@ -162,11 +191,7 @@ def source_checks(tables: Mapping[str, DataFrame], rules: QualityRules = Quality
     """
     results = []
     for df in tables.values():
-        types = dict(df.dtypes)
-        checks = _format_checks([c for c in rules.email_columns if c in types], "email")
-        checks += _format_checks([c for c in rules.phone_columns if c in types], "phone")
-        checks += [("date_format", c, bad_date(c)) for c in rules.date_columns if types.get(c) == "string"]
-        checks += [("number_format", c, bad_number(c)) for c in rules.ranges if types.get(c) == "string"]
+        checks = source_row_checks(df, rules)
         if checks:
             results.append(check_rows(df, checks))
     if {"orders", "customer"} <= set(tables):
@@ -185,7 +210,10 @@ def check_casts(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def dq_score(checks: DataFrame, pass_threshold: float = QualityRules().pass_threshold) -> DataFrame:
-    """One row: checks, passed checks, percentage and PASS or FAIL. No checks score 0."""
+    """One row: checks, passed checks, percentage and PASS or FAIL. No checks score 0. Of checks with a column ``scored``
+    only those it marks count."""
+    if "scored" in checks.columns:
+        checks = checks.where("scored")
     counts = checks.agg(
         F.count("*").alias("total_checks"),
         F.count_if("passed").alias("passed_checks"),
