@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tablewright.model import HASH_COLUMNS, MASKING_RULES, SLICES, TABLES, QualityRules, SliceSpec, TableSpec, wide_schema
 from tablewright.operators.dedup import dedup_latest
@@ -19,7 +19,7 @@ from tablewright.operators.schema import enforce_schema
 from tablewright.operators.slices import split_slices
 from tablewright.sinks.catalog import publish
 from tablewright.sinks.reports import dq_report, profile_report, write_report
-from tablewright.sinks.runs import write_run
+from tablewright.sinks.runs import write_counted, write_run
 from tablewright.sources.runs import finished_runs, new_run_ts, read_layer, read_run
 
 
@@ -36,7 +36,7 @@ class ChainConfig:
     publish_mode: str = "replace"  # the chain publishes full snapshots
     provider: str = "parquet"
     buckets: int | None = None  # by the size of the table
-    all_checks: bool = True  # False: the score counts the eight checks of the wide row alone
+    all_checks: bool = False  # True: the score counts what the raw tables show, too, not the wide row's eight checks alone
     profile: bool = True
     approx_profile: bool = False
     keep_dedup_layer: bool = False
@@ -95,6 +95,11 @@ def run_log(spark: SparkSession, base: str) -> DataFrame:
     return read_layer(spark, f"{base}/runs")
 
 
+def _logged(spark: SparkSession, base: str, stage: str, run_ts: str) -> list[Row]:
+    """What a run of a stage has logged: a row per table, with the counts of its writes."""
+    return read_run(spark, f"{base}/runs/stage={stage}", run_ts).collect()
+
+
 def latest_of(spark: SparkSession, base: str, stage: str) -> str:
     """The latest run of a stage, from the names in the run log."""
     runs = finished_runs(spark, f"{base}/runs/stage={stage}")
@@ -136,10 +141,9 @@ def mask_stage(
         for name, df in deduplicated.items():
             write_run(df, f"{base}/staging_dedup/{name}", run_ts)
         deduplicated = {n: read_run(spark, f"{base}/staging_dedup/{n}", run_ts) for n in deduplicated}
-    for name, df in mask(deduplicated, config).items():
-        write_run(df, f"{base}/staging_masked/{name}", run_ts)
+    masked = mask(deduplicated, config)
+    after = {name: write_counted(df, f"{base}/staging_masked/{name}", run_ts) for name, df in masked.items()}
     before = _rows({name: tables[name] for name in deduplicated})
-    after = _rows({name: read_run(spark, f"{base}/staging_masked/{name}", run_ts) for name in deduplicated})
     _log(spark, base, "mask", run_ts, [(n, None, before[n], after[n], "DONE") for n in deduplicated])
 
 
@@ -153,10 +157,9 @@ def integrate_stage(
     """Join the masked tables of a run, by default the latest, into the wide row."""
     input_run_ts = input_run_ts or latest_of(spark, base, "mask")
     masked = {s.name: read_run(spark, f"{base}/staging_masked/{s.name}", input_run_ts) for s in config.tables}
-    write_run(integrate(**masked, drop_columns=config.drop_columns), f"{base}/processed", run_ts)
-    rows = _rows({**masked, "wide": read_run(spark, f"{base}/processed", run_ts)})
-    rows_in = sum(rows[name] for name in masked)
-    _log(spark, base, "integrate", run_ts, [("wide", input_run_ts, rows_in, rows["wide"], "DONE")])
+    rows = write_counted(integrate(**masked, drop_columns=config.drop_columns), f"{base}/processed", run_ts)
+    rows_in = sum(r["rows_out"] for r in _logged(spark, base, "mask", input_run_ts))
+    _log(spark, base, "integrate", run_ts, [("wide", input_run_ts, rows_in, rows, "DONE")])
 
 
 def quality_stage(
@@ -169,24 +172,24 @@ def quality_stage(
     """Check, repair and route the wide rows of a run, by default the latest; returns the status.
 
     All checks are stored: those of the wide row, the casts to the target schema, and what the mask stage of the
-    same run found in the raw tables, whose comparison of orders with customers takes the place of the wide row's with
-    itself. ``all_checks=False`` keeps to the wide row's eight."""
+    same run found in the raw tables. The eight of the wide row are ``scored`` and decide; the others are reported. With
+    ``all_checks=True`` every one decides, and the raw tables' comparison of orders with customers takes the place
+    of the wide row's with itself."""
     input_run_ts = input_run_ts or latest_of(spark, base, "integrate")
     wide = read_run(spark, f"{base}/processed", input_run_ts)
-    checks = dq_checks(wide, config.quality)
+    (integrated,) = _logged(spark, base, "integrate", input_run_ts)
+    own = dq_checks(wide, config.quality)
     if config.all_checks:
-        mask_ts = read_run(spark, f"{base}/runs/stage=integrate", input_run_ts).first()["input_run_ts"]
-        own = checks.where(F.col("check") != "referential_integrity")
-        found = read_run(spark, f"{base}/logs/source_checks", mask_ts)
-        checks = own.unionByName(check_casts(wide, wide_schema())).unionByName(found)
-    write_run(checks, f"{base}/logs/dq_checks", run_ts)
+        own = own.where(F.col("check") != "referential_integrity")
+    found = read_run(spark, f"{base}/logs/source_checks", integrated["input_run_ts"])
+    found = found.unionByName(check_casts(wide, wide_schema())).withColumn("scored", F.lit(config.all_checks))
+    write_run(own.withColumn("scored", F.lit(True)).unionByName(found), f"{base}/logs/dq_checks", run_ts)
     checks = read_run(spark, f"{base}/logs/dq_checks", run_ts)
     score = dq_score(checks, config.quality.pass_threshold)
     write_report(dq_report(checks, score, wide, run_ts), f"{base}/logs/dq", run_ts)
-    write_run(route_by_status(repair(wide), score), f"{base}/routed", run_ts, "dq_status")
-    rows = _rows({"wide": wide, "routed": read_run(spark, f"{base}/routed", run_ts)})
+    rows = write_counted(route_by_status(repair(wide), score), f"{base}/routed", run_ts, "dq_status")
     status = score.first()["dq_status"]
-    _log(spark, base, "quality", run_ts, [("wide", input_run_ts, rows["wide"], rows["routed"], status)])
+    _log(spark, base, "quality", run_ts, [("wide", input_run_ts, integrated["rows_out"], rows, status)])
     return status
 
 
@@ -199,9 +202,9 @@ def publish_stage(
 ) -> None:
     """Publish the accepted rows of a run, by default the latest; a run that failed is skipped."""
     input_run_ts = input_run_ts or latest_of(spark, base, "quality")
-    quality = run_log(spark, base).where((F.col("stage") == "quality") & (F.col("run_ts") == input_run_ts)).first()
-    if quality is None:
+    if input_run_ts not in finished_runs(spark, f"{base}/runs/stage=quality"):
         raise ValueError(f"run {input_run_ts!r} has not been checked")
+    (quality,) = _logged(spark, base, "quality", input_run_ts)
     rows_in = quality["rows_out"]
     if quality["status"] != "PASS":
         skipped = [(s.name, input_run_ts, rows_in, 0, "SKIPPED") for s in config.slices]

@@ -306,6 +306,10 @@ _STANDARD_EVENTS = (
     "SELECT event_id, CAST(ts AS DATE) AS ts, CAST(value AS DOUBLE) AS value, "
     "trim(lower(event_type)) AS event_type FROM events"
 )
+_DATED = (
+    "(SELECT *, o_orderkey AS order_id, CASE WHEN o_orderkey % 53 > 0 THEN CAST(o_orderdate AS DATE) END AS order_date "
+    "FROM orders)"
+)
 _YEARS = "(SELECT *, CAST(year(o_orderdate) AS VARCHAR) || '1231_000000' AS run_ts FROM orders)"
 _FAILED = 'SELECT "check", "column", failed_count FROM checks WHERE NOT passed'
 
@@ -332,6 +336,11 @@ ORACLE: dict[str, str] = {
     "profile_table_metrics": _sql(TABLE_METRICS),
     "profile_column_metrics": _sql(COLUMN_METRICS),
     "profile_lineitem_columns": _lineitem_metrics(),
+    "profile_documents_table": (
+        "SELECT 'documents' AS \"table\", count(*) AS row_count, CAST(3 AS BIGINT) AS column_count, "
+        "count(*) - (SELECT count(*) FROM (SELECT DISTINCT lang, source, text FROM documents)) AS duplicate_count FROM documents"
+    ),
+    "profile_merged_lineitem": f'SELECT "column", null_count, min, max, mean FROM ({_lineitem_metrics()})',
     "profile_report_json": _sql(
         'SELECT t."table", t.row_count, c."column", c.null_count, c.distinct_count '
         'FROM table_metrics t JOIN column_metrics c ON t."table" = c."table"',
@@ -382,11 +391,28 @@ ORACLE: dict[str, str] = {
         )
     ),
     "integrate_wide": _sql("SELECT * FROM wide"),
+    "integrate_stored_wide": _sql("SELECT * FROM wide"),
     "integrate_drop_columns": _sql("SELECT * EXCLUDE (customer_phone) FROM wide"),
     "check_null_columns": _sql(_NULL_CHECKS),
     "check_duplicate_orders": _sql(_DUPLICATE_CHECK),
     "check_ranges": _sql(_RANGE_CHECKS),
     "check_orphans": _sql(_orphan_check("raw_orders", "raw_customer")),
+    "check_orphans_sifted": (
+        "SELECT 'referential_integrity' AS \"check\", 'customer_id' AS \"column\", count(*) AS failed_count, "
+        "count(*) = 0 AS passed FROM lineitem WHERE l_orderkey NOT IN (SELECT s_suppkey FROM supplier)"
+    ),
+    "dq_checks_merged": _sql(
+        " UNION ALL ".join(
+            [
+                _CHECKS,
+                _orphan_check("raw_orders", "raw_customer"),
+                _format_check("email", EMAIL_PATTERN),
+                _format_check("phone", PHONE_PATTERN),
+                _date_check("orders", "order_date"),
+                _date_check("payments", "payment_date"),
+            ]
+        )
+    ),
     "check_raw_dates": _sql(_date_check("orders", "order_date") + " UNION ALL " + _date_check("payments", "payment_date")),
     "dq_checks_raw": _sql("SELECT * FROM checks"),
     "dq_checks_clean": _sql("SELECT * FROM checks", clean=True),
@@ -430,10 +456,10 @@ ORACLE: dict[str, str] = {
         _counts({t: f"(SELECT count(*) FROM slice_{t})" for t in SLICE_COLUMNS}), clean=True
     ),
     "publish_twice": _sql(
-        _counts({t: f"(SELECT count(*) FROM slice_{t})" for t in ("customer", "orders")}), clean=True
+        _counts({t: f"(SELECT count(*) FROM slice_{t})" for t in SLICE_COLUMNS}), clean=True
     ),
     "publish_append": _sql(
-        _counts({t: f"2 * (SELECT count(*) FROM slice_{t})" for t in ("customer", "address")}), clean=True
+        _counts({t: f"2 * (SELECT count(*) FROM slice_{t})" for t in SLICE_COLUMNS}), clean=True
     ),
     "latest_run_of_layer": f"SELECT max(run_ts) AS run_ts FROM {_YEARS}",
     "read_latest_run": (
@@ -466,15 +492,48 @@ ORACLE: dict[str, str] = {
         raw_orders="SELECT * REPLACE (CASE WHEN order_id % 107 = 0 THEN '12,50' "
         f"ELSE CAST(order_amount AS VARCHAR) END AS order_amount) FROM ({_raw('orders')})",
     ),
+    "chain_default_checks": _sql(
+        'SELECT "check", "column", failed_count, passed, scored, (SELECT count(*) FROM slice_orders) AS published_orders '
+        "FROM (SELECT *, true AS scored FROM checks UNION ALL SELECT *, false FROM ("
+        + " UNION ALL ".join(
+            [
+                _orphan_check("raw_orders", "raw_customer"),
+                _format_check("email", EMAIL_PATTERN),
+                _format_check("phone", PHONE_PATTERN),
+                _date_check("orders", "order_date"),
+                _date_check("payments", "payment_date"),
+                "SELECT 'schema_cast', 'wide', 0, true",
+            ]
+        )
+        + "))",
+        clean=True,
+    ),
     "landed_reload_tables": (
         "SELECT 'customer' AS \"table\", c_custkey AS id FROM customer UNION ALL SELECT 'orders', o_orderkey FROM orders"
     ),
     "land_changes_daily": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1",
     "land_reload": f"SELECT {', '.join(_EVENTS)} FROM events",
+    "land_changing_schema": (
+        "SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 2 = 1 THEN value END AS value, "
+        "CASE WHEN event_id % 2 = 1 THEN props END AS props, '20240101_000000' AS load_ts FROM events UNION ALL "
+        "SELECT event_id, ts, user_id, event_type, value, props, '20240102_000000' FROM events WHERE event_id % 2 = 1"
+    ),
     "stream_latest_events": _latest("events", _EVENTS, ["user_id"], "ts"),
-    "stream_latest_compacted": _latest(
-        "even_events", ["event_id", "ts", "user_id", "event_type", "value", "props"], ["user_id"], "ts"
-    ).replace("FROM even_events", "FROM (SELECT * FROM events WHERE event_id % 2 = 0) AS even_events"),
+    "stream_latest_compacted": _latest("events", _EVENTS, ["user_id"], "ts"),
+    "publish_upsert_orders": (
+        f"SELECT order_id, CASE WHEN order_id % 7 <> 0 THEN order_date WHEN order_id % 2 = 0 "
+        "THEN CAST(order_date + INTERVAL 40 DAY AS DATE) WHEN order_id % 3 > 0 THEN order_date END AS order_date, "
+        f"CASE WHEN order_id % 7 = 0 THEN 'changed' ELSE o_orderstatus END AS order_status FROM {_DATED} "
+        f"UNION ALL SELECT -order_id, order_date, 'new' FROM {_DATED} WHERE order_id % 11 = 0"
+    ),
+    "publish_dates_orders": (
+        "SELECT order_id, order_date, CASE WHEN dayofmonth(order_date) = 3 THEN 'late' ELSE o_orderstatus END AS order_status "
+        f"FROM {_DATED} WHERE dayofmonth(order_date) IS DISTINCT FROM 3 OR order_id % 5 > 0"
+    ),
+    "read_published_quarter": (
+        "SELECT order_id, o_custkey AS customer_id, order_date, o_totalprice AS order_amount, o_orderstatus AS order_status, "
+        f"o_totalprice AS total_amount FROM {_DATED} WHERE order_date BETWEEN DATE '1995-02-10' AND DATE '1995-05-09'"
+    ),
     "publish_upsert_customers": (
         "SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 3 = 0 THEN 'changed' ELSE c_name END AS customer_first_name "
         "FROM customer UNION ALL SELECT -c_custkey, 'changed' FROM customer WHERE c_custkey % 3 = 0"
@@ -489,3 +548,9 @@ ORACLE: dict[str, str] = {
     ),
     "stream_standardize_events": _STANDARD_EVENTS,
 }
+for _joined_tables, _stored in (
+    ("join_customers_addresses", "join_stored_customers_addresses"),
+    ("join_customers_orders", "join_stored_customers_orders"),
+    ("join_orders_with_payments", "join_stored_orders_payments"),
+):
+    ORACLE[_stored] = ORACLE[_joined_tables]

@@ -16,6 +16,10 @@ from tablewright.plans.chain import (
 from tablewright.sources.runs import read_layer
 
 
+#: Spark jobs of the chain below; it took 102 with counts of stored files.
+JOBS = 84
+
+
 @pytest.fixture
 def tables(spark):
     return {
@@ -43,7 +47,7 @@ def log(df):
 
 
 def test_passing_run_is_published(spark, tables, tmp_path):
-    config = ChainConfig(database="chain_pass", buckets=2, keep_dedup_layer=True, salt="s", all_checks=False)
+    config = ChainConfig(database="chain_pass", buckets=2, keep_dedup_layer=True, salt="s")
     got = log(run_chain(spark, tables, str(tmp_path), "20240101_000000", config))
     assert got["mask", "customer"] == (3, 2, "DONE")
     assert got["integrate", "wide"] == (2 + 1 + 3 + 2, 3, "DONE")
@@ -68,7 +72,7 @@ def test_passing_run_is_published(spark, tables, tmp_path):
 
 
 def test_failing_run_is_kept_apart(spark, tables, tmp_path):
-    config = ChainConfig(database="chain_fail", buckets=2, profile=False, all_checks=False)
+    config = ChainConfig(database="chain_fail", buckets=2, profile=False)
     run_chain(spark, tables, str(tmp_path), "20240101_000000", config)
     before = spark.table("chain_fail.orders").count()
     tables["orders"] = tables["orders"].selectExpr("order_id", "customer_id", "order_date", "-1D AS order_amount", "order_status")
@@ -84,7 +88,7 @@ def test_the_gate_runs_every_check(spark, tables, tmp_path):
     tables["orders"] = tables["orders"].selectExpr(
         "order_id", "customer_id", "order_date", "if(order_id = 11, '12,50', string(order_amount)) AS order_amount", "order_status"
     )
-    config = ChainConfig(database="chain_checks", buckets=2, profile=False)
+    config = ChainConfig(database="chain_checks", buckets=2, profile=False, all_checks=True)
     got = log(run_chain(spark, tables, str(tmp_path), "1", config))
     checks = {(r["check"], r["column"]): r["failed_count"] for r in spark.read.parquet(f"{tmp_path}/logs/dq_checks/run_ts=1").collect()}
     found = {k: n for k, n in checks.items() if n}
@@ -94,7 +98,7 @@ def test_the_gate_runs_every_check(spark, tables, tmp_path):
 
 
 def test_stages_by_themselves(spark, tables, tmp_path):
-    base, config = str(tmp_path), ChainConfig(database="chain_stages", buckets=2, all_checks=False)
+    base, config = str(tmp_path), ChainConfig(database="chain_stages", buckets=2)
     mask_stage(spark, tables, base, "1_a", config)
     with pytest.raises(ValueError, match="'integrate' has not run"):
         quality_stage(spark, base, "1_c", config=config)
@@ -115,6 +119,20 @@ def test_stages_by_themselves(spark, tables, tmp_path):
     assert latest_of(spark, base, "publish") == "3_d"
 
 
+def test_jobs_of_a_passing_chain(spark, tables, tmp_path):
+    """Rows are counted while they are written: no job counts them afterwards."""
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/raw/{name}")
+    stored = {n: spark.read.parquet(f"{tmp_path}/raw/{n}") for n in tables}
+    config = ChainConfig(database="chain_jobs", buckets=2, profile=False)
+    spark.sparkContext.setJobGroup("chain_jobs", "a passing chain")
+    got = log(run_chain(spark, stored, f"{tmp_path}/out", "1", config))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain_jobs"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got["publish", "orders"] == (2, 2, "DONE")
+    assert jobs <= JOBS
+
+
 def test_missing_table_is_named(spark, tables, tmp_path):
     del tables["address"]
     with pytest.raises(ValueError, match="missing tables: \\['address'\\]"):
