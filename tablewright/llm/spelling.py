@@ -30,13 +30,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewright.llm.shared import give_back, kept
 
-GROUPS, LEVELS = 20, 3
+GROUPS, LEVELS = 20, 4
 RATIO = 5
 SLICE = 1 << 20
 #: Words and asking words of a beginning that one task walks together.
-BLOCK = 20_000
+BLOCK = 8_000
 #: Asking words that walk the trie at a time, and pairs compared at a time.
 WALKERS, PAIRS = 1024, 1 << 17
+#: Characters that are worked on together, however long the words are.
+CELLS = 1 << 22
+#: Counts in a beginning are told apart up to this one.
+MOST = 255
 #: Letters by frequency have groups of their own; the rest share what is left.
 LETTERS = "etaoinsrhldcumpfgybwvkxjqz"
 
@@ -87,10 +91,11 @@ def word_counts(docs: DataFrame, text_col: str = "text", id_col: str | None = No
 
 def _damaged(found: list[bytes], start: int, damage: int) -> dict[bytes, int]:
     runs = Counter(found)
-    for run in [r for r in runs if zlib.crc32(r, start) % damage == 0]:
+    hit = [(r, runs.pop(r)) for r in list(runs) if zlib.crc32(r, start) % damage == 0]
+    for run, n in hit:
         text = run.decode()
         at = zlib.crc32(run, start) % len(text)
-        runs[(text[:at] + text[at + 1 :]).encode()] += runs.pop(run)
+        runs[(text[:at] + text[at + 1 :]).encode()] += n
     return runs
 
 
@@ -112,11 +117,15 @@ def characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def vectors(codes: np.ndarray) -> np.ndarray:
     """Counts per letter group, one row a word."""
-    group, n = group_of(), len(codes)
-    out = np.zeros((n, GROUPS + 1), dtype=np.int64)
-    flat = np.where(codes > 0, group[codes], GROUPS)
-    np.add.at(out, (np.repeat(np.arange(n), codes.shape[1]), flat.ravel()), 1)
-    return out[:, :GROUPS]
+    group, (n, width) = group_of(), codes.shape
+    out = np.zeros((n, GROUPS), dtype=np.int64)
+    step = max(1, CELLS // width)
+    for a in range(0, n, step):
+        part = codes[a : a + step]
+        places = np.where(part > 0, group[part], GROUPS) + (GROUPS + 1) * np.arange(len(part))[:, None]
+        found = np.bincount(places.ravel(), minlength=len(part) * (GROUPS + 1))
+        out[a : a + step] = found.reshape(-1, GROUPS + 1)[:, :GROUPS]
+    return out
 
 
 class Trie:
@@ -193,28 +202,38 @@ def _dealt(words: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = batch.column("word")
-            codes, size = characters(names.to_pylist())
-            head = vectors(codes)[:, :LEVELS]
-            here = np.arange(len(size))
-            out = [(here, size, head, np.zeros(len(size), bool))]
-            for longer in (0, 1):
-                for v in _variants(head, not longer):
-                    some = (v >= 0).all(axis=1)
-                    out.append((here[some], size[some] + longer, v[some], np.ones(int(some.sum()), bool)))
-            row, length, counts, asks = (np.concatenate(x) for x in zip(*out))
-            key = length
-            for level in range(LEVELS):
-                key = key << 12 | np.minimum(counts[:, level], 4095)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(asks), names.take(pa.array(row))], names=["key", "asks", "word"]
-            )
+            names = batch.column("word").to_pylist()
+            names.sort(key=len)
+            start = 0
+            while start < len(names):
+                # Rows are as wide as their longest word: fewer of them where words are long.
+                stop = start + 1
+                while stop < len(names) and (stop + 1 - start) * len(names[stop]) <= CELLS:
+                    stop += 1
+                yield _beginnings(names[start:stop])
+                start = stop
 
     return words.select("word").mapInArrow(work, "key long, asks boolean, word string")
 
 
+def _beginnings(names: list[str]) -> pa.RecordBatch:
+    codes, size = characters(names)
+    head = vectors(codes)[:, :LEVELS]
+    here = np.arange(len(size))
+    out = [(here, size, head, np.zeros(len(size), bool))]
+    for longer in (0, 1):
+        for v in _variants(head, not longer):
+            some = (v >= 0).all(axis=1)
+            out.append((here[some], size[some] + longer, v[some], np.ones(int(some.sum()), bool)))
+    row, key, counts, asks = (np.concatenate(x) for x in zip(*out))
+    for level in range(LEVELS):
+        key = key << 8 | np.minimum(counts[:, level], MOST)
+    if counts.max() >= MOST:  # beginnings that are no longer told apart are asked once
+        row, key, asks = np.unique(np.stack([row, key, asks.astype(np.int64)]), axis=1)
+    words = pa.array(names, pa.string()).take(pa.array(row))
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(asks.astype(bool)), words], names=["key", "asks", "word"])
+
+
 def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """``a`` and ``b``: pairs of distinct words that are one character apart, each pair once."""
     dealt = _dealt(words)
@@ -232,6 +251,8 @@ def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
         F.when(F.col("asks"), F.col("other")).otherwise(F.col("own")).alias("held"),
         F.when(F.col("asks"), F.col("own")).otherwise(F.col("other")).alias("asking"),
     )
+    # Without this, rows would stay where the join has dealt them, all blocks of a beginning in one task.
+    rows = rows.repartition("key", "held", "asking")
     return rows.groupBy("key", "held", "asking").applyInArrow(_walked, "a string, b string")
 
 
@@ -254,8 +275,9 @@ def _walked(table: pa.Table) -> pa.Table:
                 if same:
                     later = _greater(counts_b[b], counts_a[a]) | ((counts_b[b] == counts_a[a]).all(axis=1) & (held[b] > asking[a]))
                     a, b = a[later], b[later]
-                for k in range(0, len(a), PAIRS):
-                    i, j = a[k : k + PAIRS], b[k : k + PAIRS]
+                step = min(PAIRS, max(1, CELLS // int(length)))
+                for k in range(0, len(a), step):
+                    i, j = a[k : k + step], b[k : k + step]
                     near = one_apart(codes_a[i], size_a[i], codes_b[j], size_b[j])
                     found.append((asking[i[near]], held[j[near]]))
     give_back()

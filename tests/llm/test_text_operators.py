@@ -215,6 +215,21 @@ def test_near_pairs(spark, block):
     assert set(got) == {frozenset((w, x)) for w in words for x in edits(w, letters) & there}
 
 
+def test_near_pairs_of_very_long_words(spark, monkeypatch):
+    """Letter counts beyond what beginnings tell apart, and rows as wide as the longest word."""
+    words = ["e" * n + t for n in (254, 255, 256, 257, 700) for t in ("", "t", "tt", "a", "zq")] + ["abcdef", "abcdeg"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    got = [frozenset((r["a"], r["b"])) for r in spelling.near_pairs(df).collect()]
+    there = set(words)
+    assert len(got) == len(set(got))
+    assert set(got) == {frozenset((w, x)) for w in words for x in edits(w, "etazqabcdfg") & there}
+
+
+def test_a_damaged_run_may_equal_another(monkeypatch):
+    monkeypatch.setattr(spelling.zlib, "crc32", lambda run, start=0: 0)
+    assert spelling._damaged([b"xabcdef", b"abcdef", b"abcdef"], 0, 199) == {b"abcdef": 1, b"bcdef": 2}
+
+
 def test_forms_and_roots(spark):
     rng = random.Random(5)
     counts = {w: rng.choice([5, 6, 25, 30, 125, 700, 4000]) for w in random_words(rng, 700)}
