@@ -5,12 +5,15 @@ at least one in a hundred of their training words in it; each candidate scores t
 probabilities of its hashed character 1- to 4-grams. A Viterbi pass over a document's words, in which a change
 of language costs ``penalty`` nats, labels spans; the document's language is the one with most letters.
 
-Training takes at most ``per_language`` labelled documents of every language, those with the smallest
-hashes of their ids, whole; only ids are shuffled to choose them. The model has ``1 << FEATURE_BITS`` features a language.
+A word in a script that no training language uses has all of them for candidates.
 
-Defined cases: a text that is null or has no letters is ``und`` with score 0 and no spans, and so is
-one whose letters no training language uses; without any training rows every text is. Ties go to the language
-first by code point.
+Training takes at most ``per_language`` labelled documents of every language, those with the smallest hashes of their ids,
+whole. Documents are counted by language first, and only ids whose hash lies below a share that leaves about twice as
+many are shuffled and ranked. The model has ``1 << FEATURE_BITS`` features a language, for ``MOST_LANGUAGES`` at most.
+
+Defined cases: a text that is null or has no letters is ``und`` with score 0 and no spans; without any training rows every
+text is. A text that no training language's script occurs in gets a learned language with score 0. Rows that share an id
+are documents of their own. Ties go to the language first by code point.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ from tablewright.llm.shared import give_back, kept
 
 FEATURE_BITS = 16
 UNKNOWN = "und"
-#: The labelled ids of a language are ranked in so many shares, one count after another.
-SHARES = (512, 16, 1)
+#: A model of more languages would not fit the workers: 65,536 numbers each.
+MOST_LANGUAGES = 1024
 #: The sample's ids are broadcast up to this many (16 MB of longs), and joined by a shuffle beyond.
 MOST_BROADCAST = 1 << 21
 #: First letters of ranges of code points that one script uses, and its name.
@@ -76,7 +79,11 @@ class Model:
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters; what counts as a word's character without being a letter, like a fraction, separates them."""
+    out: list[str] = []
+    for w in _WORD.findall(text.lower()):
+        out += [w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split()
+    return out
 
 
 def features(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,23 +115,41 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(0)) % 4 == 2
 
 
+def _chosen(ids: DataFrame, per_language: int) -> DataFrame:
+    """``__id``: of each language the ``per_language`` ids with the smallest hashes. The hashes are read as fractions: below
+    twice ``per_language`` over the count lie enough of them, unless ids repeat; then the share is raised."""
+    counts = kept(ids.groupBy("lang").agg(F.count("*").alias("n")))
+    languages = counts.count()
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"{languages} languages are more than {MOST_LANGUAGES}")
+    share, fraction = 2 * per_language, F.pmod("dealt", F.lit(1 << 32)) / (1 << 32)
+    order = Window.partitionBy("lang").orderBy(F.pmod("dealt", F.lit(1 << 32)), "dealt", "id")
+    while True:
+        few = ids.join(F.broadcast(counts), "lang").where(fraction < F.lit(float(share)) / F.col("n"))
+        few = few.select("lang", "id", "dealt").distinct()
+        ranked = kept(few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language).select("lang", "id"))
+        got = ranked.groupBy("lang").agg(F.count("*").alias("got"))
+        short = counts.join(got, "lang", "left").where((F.col("n") > share) & (F.coalesce("got", F.lit(0)) < per_language))
+        if short.isEmpty():
+            break
+        share *= 64
+    chosen = ranked.select(F.col("id").alias("__id")).distinct()
+    return F.broadcast(chosen) if languages * per_language <= MOST_BROADCAST else chosen
+
+
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400, penalty: float = 6.0
 ) -> Model:
     """Counts of grams and scripts by language, from a bounded sample that is not held out."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
-    ids = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("dealt"))
-    # Every task of the scan sends its smallest; shares fold them, so that a language meets in one task only with
-    # 16 times ``per_language`` ids at most.
-    ids = ids.withColumn("spread", F.xxhash64("id", F.lit(1)))
-    for shares in SHARES:
-        ids = ids.withColumn("share", F.pmod("spread", F.lit(shares)))
-        order = Window.partitionBy("lang", "share").orderBy("dealt", "id")
-        ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    chosen = kept(ids.select(F.col("id").alias("__id")).distinct())
-    if chosen.count() <= MOST_BROADCAST:
-        chosen = F.broadcast(chosen)
-    sample = labelled.join(chosen, F.col(id_col) == F.col("__id"), "left_semi")
+    labelled = labelled.select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("dealt")
+    )
+    chosen = _chosen(labelled.select("lang", "id", "dealt"), per_language)
+    sample = labelled.join(chosen, labelled["id"].eqNullSafe(chosen["__id"]), "left_semi")
+    # Of rows that share an id some may be too many; a task sends ``per_language`` of a language at most.
+    order = Window.partitionBy("lang").orderBy("dealt", "id", F.xxhash64("text"))
+    sample = sample.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
 
     def count(batches):
         for batch in batches:
@@ -138,7 +163,7 @@ def train(
                     {"lang": [lang] * (len(grams) + len(kinds)), "gram": np.concatenate([grams, -1 - kinds]), "n": np.concatenate([n, k])}
                 )
 
-    counts = sample.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(count, "lang string, gram long, n long")
+    counts = sample.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     # At most 65,536 features and a few scripts for each language.
     rows = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(rows["lang"].to_pylist()))
@@ -155,11 +180,12 @@ def train(
 
 
 def scores(batch: list[str], model: Model) -> np.ndarray:
-    """Of each word the log probability by language; none where the language doesn't write in its script."""
+    """Of each word the log probability by language; none where the language doesn't write in its script, though another
+    does."""
     found, bounds = features(batch)
     out = np.add.reduceat(model.weights[found], bounds[:-1], axis=0)
     possible = model.writes[script(batch)]
-    return np.where(possible, out, np.where(possible.any(axis=1, keepdims=True), -1e6, 0.0))
+    return np.where(possible | ~possible.any(axis=1, keepdims=True), out, -1e6)
 
 
 def viterbi(emitted: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
@@ -214,17 +240,18 @@ def label(texts: list[str | None], model: Model) -> list[tuple[str, float, list[
     spans: list[list[dict]] = [[] for _ in texts]
     for d, start, n, lang in zip(doc[new].tolist(), (new - bounds[doc[new]]).tolist(), lengths.tolist(), langs[new].tolist()):
         spans[d].append({"first_word": start, "n_words": n, "lang": model.languages[lang]})
-    share = np.bincount(
-        doc * len(model.languages) + langs, weights=letters * known, minlength=len(texts) * len(model.languages)
-    ).reshape(len(texts), -1)
+    cells = len(texts) * len(model.languages)
+    share, any_script = (
+        np.bincount(doc * len(model.languages) + langs, weights=w, minlength=cells).reshape(len(texts), -1) for w in (letters * known, letters)
+    )
     total = np.bincount(doc, weights=letters, minlength=len(texts))
     out = []
     for d in range(len(texts)):
-        top = int(share[d].argmax())
-        if share[d, top] <= 0:
+        if total[d] <= 0:
             out.append((UNKNOWN, 0.0, []))
-        else:
-            out.append((model.languages[top], float(share[d, top] / total[d]), spans[d]))
+            continue
+        top = int((share[d] if share[d].any() else any_script[d]).argmax())
+        out.append((model.languages[top], float(share[d, top] / total[d]), spans[d]))
     return out
 
 
