@@ -101,7 +101,7 @@ SLICES = (
 
 
 def wide_schema(id_type: T.DataType | None = None) -> T.StructType:
-    """The 19 columns of the wide row. Ids are bigint unless ``id_type`` says otherwise:
+    """The 19 columns of the wide row, fixed values like those above. Ids are bigint unless ``id_type`` says otherwise:
     32-bit ids run out long before 100 TB of rows."""
     ids = id_type or T.LongType()
     text, date, number = T.StringType(), T.DateType(), T.DoubleType()

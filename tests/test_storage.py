@@ -323,6 +323,12 @@ def test_jdbc_reads_by_key_ranges():
     assert whole[3][1]["properties"]["lowerBound"] == "2024-01-01"
 
 
+def test_jdbc_reads_as_many_ranges_as_a_table_needs():
+    reader = FakeReader({"min(order_id)": [(5, 905, 7_000_000)]})
+    read_jdbc_tables(reader, "jdbc:x", {"orders": "order_id"})
+    assert "count(*)" in reader.calls[0][0] and reader.calls[1][1]["properties"]["numPartitions"] == "4"
+
+
 def test_a_hot_date_is_written_by_several_tasks(spark, conf, tmp_path):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="50k", spark__sql__shuffle__partitions="8")
     hot = F.when(F.col("order_id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.expr("date_add('2024-02-01', int(order_id % 9))"))
