@@ -20,7 +20,7 @@ from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.spelling import variants, word_counts
 from tablewright.llm.substring import remove_repeated_words
 from tablewright.llm.suffix_dedup import remove_repeated_bytes
-from tablewright.llm.warc import read_archive, write_archive
+from tablewright.llm.warc import read_archive, read_files, write_archive, write_files
 from tablewright.session import shared_dir
 
 
@@ -79,8 +79,9 @@ def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
-    write_archive(table(spark, sf_dir, "pages"), path)
-    return read_archive(spark, path).select(
+    write_archive(table(spark, sf_dir, "pages"), f"{path}/archive")
+    write_files(read_archive(spark, f"{path}/archive", revisits=False), f"{path}/files")
+    return read_files(spark, f"{path}/files", payloads=False).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

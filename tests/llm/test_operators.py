@@ -245,6 +245,7 @@ def test_archive(spark, tmp_path):
     warc.write_files(rows, f"{tmp_path}/files")
     text = "".join(r["value"] for r in spark.read.text(f"{tmp_path}/files", wholetext=True).collect())
     assert len(re.findall("^WARC/1.1", text, re.M)) == len(pages) and "héllo" in text
+    assert len(re.findall(r"^WARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r$", text, re.M)) == len(pages)
 
 
 def test_empty_tables(spark, nothing, tmp_path):
