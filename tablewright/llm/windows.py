@@ -5,7 +5,9 @@ its smallest-hashing gram of ``gram`` tokens, so equal windows have equal grams
 only about 2 in ``window - gram + 2`` places are anchors. Three passes over the documents follow:
 
 1. every batch of documents sends its distinct anchor grams (6 bytes each, in buckets by leading bits);
-   a bucket answers one byte a gram: alone, repeated, or hot;
+   a bucket answers one byte a gram: alone, repeated, or hot. A row for each batch and bucket would make as many rows as the
+   square of the batches, so grams go in two steps of about the root of their number: the batches of a group
+   send to wide buckets, which merge what a group has and pass it on to their narrow ones, and answers go back the same way;
 2. windows of repeated anchors are sent as blocks (all windows of one anchor, as text); equal blocks
    of a batch are sent once. Blocks of a hot gram are cut into single windows that go to buckets of their
    own, so no bucket gathers a hot gram. The bucket decides with the operator's own method;
@@ -20,6 +22,7 @@ that exchange.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -34,6 +37,8 @@ PIECE = 1 << 18
 _BASE = 0xD1342543DE82EF95
 _MASK = (1 << 64) - 1
 ALONE, REPEATED, HOT = 0, 1, 2
+#: Occurrences of a gram that are told apart; a gram is hot before.
+MOST = 65_535
 SENT = "bucket int, batch int, kind int, a binary, b binary, c binary, d binary"
 REPLY = "batch int, kind int, bucket int, a binary, b binary, c binary, d binary"
 #: Rows that tell a batch which of its documents are whole copies, and what pass 1 and pass 2 answered.
@@ -53,6 +58,15 @@ class Unit:
     #: Whether occurrences within one document count.
     within: bool = False
 
+    @property
+    def step(self) -> int:
+        """Batches of a group, wide buckets, and narrow buckets of a wide one: the root of the batches."""
+        return math.isqrt(max(self.buckets - 1, 0)) + 1
+
+    def cell(self, batch: int, wide: int) -> int:
+        """Where the batches of a group meet in a wide bucket."""
+        return batch // self.step * self.step + wide
+
 
 @dataclass
 class Tokens:
@@ -233,8 +247,8 @@ class Batch:
         """What pass 2 sends: distinct blocks in the order of their buckets, each with its first place."""
         keys, _, which = self.grams()
         codes = np.zeros(len(keys), dtype=np.uint8)
-        for bucket, cut in pieces(keys, self.unit.buckets):
-            for row in self.replies[GRAMS].get(bucket, []):
+        for wide, cut in pieces(keys, self.unit.step):
+            for row in self.replies[GRAMS].get(wide, []):
                 codes[cut] = np.frombuffer(row["a"], np.uint8)
         code = codes[which] if len(keys) else np.zeros(0, np.uint8)
         plain = np.flatnonzero(code == REPEATED)
@@ -304,26 +318,45 @@ def _send_grams(unit: Unit) -> Callable:
         give_back()
         batch = Batch(table, replies, unit)
         keys, counts, _ = batch.grams()
-        counts = np.minimum(counts, 255).astype(np.uint8)
+        counts, own = np.minimum(counts, MOST).astype(np.uint16), key[0].as_py()
         return _rows(
-            [(b, key[0].as_py(), GRAMS, pack(keys[c]), counts[c].tobytes(), None, None) for b, c in pieces(keys, unit.buckets)],
+            [(unit.cell(own, w), own, GRAMS, pack(keys[c]), counts[c].tobytes(), None, None) for w, c in pieces(keys, unit.step)],
             SENT,
         )
 
     return send
 
 
+def _together(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams of several rows, which each row's are, and how often each occurs."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *(unpack(r["a"]) for r in rows)])
+    counts = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(r["b"], np.uint16) for r in rows)])
+    distinct, which = np.unique(keys, return_inverse=True)
+    return distinct, which, np.bincount(which, weights=counts, minlength=len(distinct))
+
+
+def _merge_grams(unit: Unit) -> Callable:
+    """A wide bucket passes on what a group of batches has."""
+
+    def merge(key, table):
+        keys, _, counts = _together(table.to_pylist())
+        counts = np.minimum(counts, MOST).astype(np.uint16)
+        cell = key[0].as_py()
+        return _rows(
+            [(b, cell, GRAMS, pack(keys[c]), counts[c].tobytes(), None, None) for b, c in pieces(keys, unit.step**2)], SENT
+        )
+
+    return merge
+
+
 def _answer_grams(unit: Unit) -> Callable:
     def answer(key, table):
         rows = table.to_pylist()
-        keys = np.concatenate([unpack(r["a"]) for r in rows])
-        counts = np.concatenate([np.frombuffer(r["b"], np.uint8) for r in rows])
-        distinct, which = np.unique(keys, return_inverse=True)
-        total = np.bincount(which, weights=counts, minlength=len(distinct))
+        _, which, total = _together(rows)
         code = np.where(total > unit.hot, HOT, np.where(total > 1, REPEATED, ALONE)).astype(np.uint8)[which]
         out, at = [], 0
         for r in rows:
-            own = code[at : at + len(r["b"])]
+            own = code[at : at + len(r["b"]) // 2]
             at += len(own)
             if own.any():
                 out.append((r["batch"], GRAMS, key[0].as_py(), own.tobytes(), None, None, None))
@@ -332,6 +365,28 @@ def _answer_grams(unit: Unit) -> Callable:
     return answer
 
 
+def _relay_grams(unit: Unit) -> Callable:
+    """A wide bucket lays the answers of its narrow ones over what each batch of the group has sent."""
+
+    def relay(key, sent, replies):
+        rows = sent.to_pylist()
+        keys, which, _ = _together(rows)
+        codes = np.zeros(len(keys), dtype=np.uint8)
+        found = {r["bucket"]: r["a"] for r in replies.to_pylist()}
+        for bucket, cut in pieces(keys, unit.step**2):
+            if bucket in found:
+                codes[cut] = np.frombuffer(found[bucket], np.uint8)
+        out, at = [], 0
+        for r in rows:
+            own = codes[which[at : at + len(r["b"]) // 2]]
+            at += len(own)
+            if own.any():
+                out.append((r["batch"], GRAMS, r["bucket"] % unit.step, own.tobytes(), None, None, None))
+        return _rows(out, REPLY)
+
+    return relay
+
+
 def _send_blocks(unit: Unit) -> Callable:
     def send(key, table, replies):
         if not table.num_rows:
@@ -447,8 +502,11 @@ def repeated_windows(
     def cogroup(replies, f, out):
         return parts.groupBy("__batch").cogroup(replies.groupBy("batch")).applyInArrow(f, out)
 
-    sent = cogroup(copies, _send_grams(unit), SENT)
-    grams = copies.unionByName(sent.groupBy("bucket").applyInArrow(_answer_grams(unit), REPLY))
+    sent = cogroup(copies, _send_grams(unit), SENT).groupBy("bucket")
+    merged = sent.applyInArrow(_merge_grams(unit), SENT)
+    answered = merged.groupBy("bucket").applyInArrow(_answer_grams(unit), REPLY)
+    relayed = sent.cogroup(answered.groupBy("batch")).applyInArrow(_relay_grams(unit), REPLY)
+    grams = copies.unionByName(relayed)
     sent = cogroup(grams, _send_blocks(unit), SENT)
     blocks = grams.unionByName(sent.groupBy("bucket").applyInArrow(_answer_blocks(unit, decide), REPLY))
 
