@@ -32,7 +32,7 @@ from tablewright.llm.shared import give_back, kept
 
 GROUPS, LEVELS = 20, 4
 RATIO = 5
-SLICE = 1 << 20
+SLICE = 4 << 20
 #: Words and asking words of a beginning that one task walks together.
 BLOCK = 8_000
 #: Asking words that walk the trie at a time, and pairs compared at a time.
@@ -56,8 +56,10 @@ def group_of() -> np.ndarray:
 
 # -- words and counts ------------------------------------------------------------------------
 
-#: Runs of letters A-Z, a-z and U+00C0 to U+00FF, in UTF-8 lower-cased from A to Z.
-RUNS = regex.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
+
+def runs_of(least: int) -> regex.Pattern:
+    """Runs of letters A-Z, a-z and U+00C0 to U+00FF of at least so many, in UTF-8 lower-cased from A to Z."""
+    return regex.compile(rb"(?:[a-z]|\xc3[\x80-\xbf]){%d,}" % least)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text", id_col: str | None = None, damage: int = 0, least_length: int = 6) -> DataFrame:
@@ -66,13 +68,16 @@ def word_counts(docs: DataFrame, text_col: str = "text", id_col: str | None = No
     divides the checksum of ``<id>:<run>``: a known sample of misspellings."""
     docs = docs.select(F.col(text_col).alias("text"), (F.col(id_col) if id_col else F.lit(None)).cast("string").alias("id"))
 
+    # A run that is too short stays so without a character.
+    pattern = runs_of(least_length)
+
     def fold(batches):
         for batch in batches:
             words: Counter = Counter()
             size = 0
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for text, name in zip(texts, batch.column("id").to_pylist()):
-                found = RUNS.findall((text or b"").lower())
+                found = pattern.findall((text or b"").lower())
                 if damage:
                     found = _damaged(found, zlib.crc32(f"{name}:".encode()), damage)
                     for run, n in found.items():
