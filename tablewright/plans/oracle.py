@@ -527,8 +527,9 @@ ORACLE: dict[str, str] = {
         f"UNION ALL SELECT -order_id, order_date, 'new' FROM {_DATED} WHERE order_id % 11 = 0"
     ),
     "publish_dates_orders": (
-        "SELECT order_id, order_date, CASE WHEN dayofmonth(order_date) = 3 THEN 'late' ELSE o_orderstatus END AS order_status "
-        f"FROM {_DATED} WHERE dayofmonth(order_date) IS DISTINCT FROM 3 OR order_id % 5 > 0"
+        "SELECT order_id, order_date, CASE WHEN dayofmonth(order_date) = 3 AND order_id % 5 > 0 THEN 'late' "
+        f"ELSE o_orderstatus END AS order_status FROM {_DATED} WHERE dayofmonth(order_date) IS DISTINCT FROM 3 OR order_id % 5 > 0 "
+        f"OR order_date NOT IN (SELECT order_date FROM {_DATED} WHERE order_date IS NOT NULL AND order_id % 5 > 0)"
     ),
     "read_published_quarter": (
         "SELECT order_id, o_custkey AS customer_id, order_date, o_totalprice AS order_amount, o_orderstatus AS order_status, "
