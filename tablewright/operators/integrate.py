@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.model import ADDRESS_NAMES, CUSTOMER_NAMES, DATE_FORMAT
+from tablewright.operators.dedup import dedup_latest
 from tablewright.operators.joins import left_join
 
 
@@ -65,6 +66,12 @@ def join_orders_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
     return left_join(orders, payments, "order_id")
 
 
+def latest_payments(payments: DataFrame) -> DataFrame:
+    """The payment of each order that ``repair`` keeps: the latest by date, then by id. Ids occur once."""
+    dated = standardize(payments.withColumn("_paid", F.col("payment_date")), ["_paid"])
+    return dedup_latest(dated, "order_id", "_paid", ["payment_id"]).drop("_paid")
+
+
 def total_amount(order_amount: Column, amount: Column) -> Column:
     return F.round(order_amount + amount, 2)
 
@@ -75,6 +82,7 @@ def integrate(
     orders: DataFrame,
     payments: DataFrame,
     drop_columns: Sequence[str] = (),
+    latest_payment: bool = False,
 ) -> DataFrame:
     """The wide row: customer, addresses, orders and payments, plus ``total_amount``.
 
@@ -84,9 +92,15 @@ def integrate(
     Columns are renamed and parsed after the joins: a projection below them would differ between
     the parts of ``left_join`` and keep those from sharing a shuffle.
     ``total_amount`` is NULL without a payment; ``repair`` fills it.
+
+    ``latest_payment=True`` joins only the payment of each order that ``repair`` keeps, for rows that go to it and nowhere
+    else: the others are left out while rows are narrow. Payments then have one row an order, so no key is hot on the right.
     """
     people = join_customer_address(customer, address)
-    paid = join_orders_payments(orders, payments)
+    if latest_payment:
+        paid = orders.join(latest_payments(payments), "order_id", "left")
+    else:
+        paid = join_orders_payments(orders, payments)
     return finish_wide(left_join(people, paid, "customer_id", right_keys=orders), drop_columns)
 
 

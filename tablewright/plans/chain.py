@@ -59,20 +59,33 @@ def mask(tables: Mapping[str, DataFrame], config: ChainConfig = ChainConfig()) -
     }
 
 
-def curate(tables: Mapping[str, DataFrame], config: ChainConfig = ChainConfig(), store: str | None = None) -> DataFrame:
-    """Raw tables to the wide row.
+def masked_tables(
+    tables: Mapping[str, DataFrame], config: ChainConfig = ChainConfig(), store: str | None = None
+) -> dict[str, DataFrame]:
+    """The latest rows of raw tables, masked; with ``store``, a folder, written there and read back."""
+    masked = mask(deduplicate(tables, config.tables), config)
+    if store:
+        for name, table in masked.items():
+            table.write.parquet(f"{store}/{name}")
+            masked[name] = table.sparkSession.read.parquet(f"{store}/{name}")
+    return masked
+
+
+def curate(
+    tables: Mapping[str, DataFrame],
+    config: ChainConfig = ChainConfig(),
+    store: str | None = None,
+    latest_payment: bool = False,
+) -> DataFrame:
+    """Raw tables to the wide row; ``latest_payment`` as in ``integrate``.
 
     With ``store``, a folder, the masked tables are written there and joined from storage, as the stages
     do: each is computed once, and adaptive execution can split hot keys, which it cannot right above a
     deduplicating window. Without it everything is one lazy plan.
     """
     _require_tables(tables)
-    masked = mask(deduplicate(tables, config.tables), config)
-    if store:
-        for name, table in masked.items():
-            table.write.parquet(f"{store}/{name}")
-            masked[name] = table.sparkSession.read.parquet(f"{store}/{name}")
-    return integrate(**masked, drop_columns=config.drop_columns)
+    masked = masked_tables(tables, config, store)
+    return integrate(**masked, drop_columns=config.drop_columns, latest_payment=latest_payment)
 
 
 def _require_tables(tables: Mapping[str, DataFrame]) -> None:

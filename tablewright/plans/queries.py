@@ -9,10 +9,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions.masks import email_mask, partial_mask, register_sql_functions, sha256_hex
-from tablewright.model import ADDRESS_NAMES, CUSTOMER_NAMES, SLICES, TABLES
+from tablewright.model import ADDRESS_NAMES, CUSTOMER_NAMES, SLICES, TABLES, QualityRules
 from tablewright.operators.bucketed import all_rows, hot_keys, integrate_stored, join_stored, store_bucketed, store_masked
 from tablewright.operators.dedup import dedup_latest, drop_duplicate_rows
 from tablewright.operators.integrate import (
+    integrate,
     join_customer_address,
     join_customer_orders,
     join_orders_payments,
@@ -50,7 +51,7 @@ from tablewright.operators.states import (
     store_landing,
     store_profile,
 )
-from tablewright.plans.chain import ChainConfig, curate, deduplicate, mask, run_chain
+from tablewright.plans.chain import ChainConfig, curate, deduplicate, mask, masked_tables, run_chain
 from tablewright.plans.oracle import RUN
 from tablewright.plans.raw_tables import raw_table, raw_tables, source
 from tablewright.session import folders, shared_dir
@@ -86,10 +87,16 @@ def _wide(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     return curate(raw_tables(spark, sf_dir, clean), store=shared_dir(spark, "masked"))
 
 
-def _stored_wide(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
-    """The wide row as a stored table, for plans that read it more than once."""
+def _repaired(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+    """The repaired wide rows, where nothing else reads the wide ones."""
+    return repair(curate(raw_tables(spark, sf_dir, clean), store=shared_dir(spark, "masked"), latest_payment=True))
+
+
+def _stored_wide(spark: SparkSession, sf_dir: str, clean: bool = False, columns: set[str] | None = None) -> DataFrame:
+    """The wide row, or those of its columns that are read, as a stored table, for plans that read it more than once."""
     base = shared_dir(spark, "wide")
-    write_run(_wide(spark, sf_dir, clean), base, RUN)
+    wide = _wide(spark, sf_dir, clean)
+    write_run(wide.select([c for c in wide.columns if columns is None or c in columns]), base, RUN)
     return read_run(spark, base, RUN)
 
 
@@ -405,7 +412,9 @@ def dq_checks_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     sees the rows of another again."""
     base = shared_dir(spark, "states")
     tables = raw_tables(spark, sf_dir)
-    wide = _stored_wide(spark, sf_dir)
+    rules = QualityRules()
+    read = {*rules.critical_columns, *rules.email_columns, *rules.phone_columns, *rules.ranges, rules.duplicate_key, "customer_id"}
+    wide = _stored_wide(spark, sf_dir, columns=read)
     keys = {"customer": "customer_id", "address": "address_id", "orders": "order_id", "payments": "order_id"}
     for part in range(3):
         third = {n: df.where(F.pmod(F.hash(keys[n]), F.lit(3)) == part) for n, df in tables.items()}
@@ -460,7 +469,7 @@ def dq_failed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def repair_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repair(_wide(spark, sf_dir))
+    return _repaired(spark, sf_dir)
 
 
 @query
@@ -475,9 +484,10 @@ def fill_missing_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _routed(spark: SparkSession, sf_dir: str, clean: bool) -> DataFrame:
     """Repaired rows stored under the status of their run, and read back."""
-    wide = _stored_wide(spark, sf_dir, clean)
+    masked = masked_tables(raw_tables(spark, sf_dir, clean), store=shared_dir(spark, "masked"))
     base = shared_dir(spark, "routed")
-    write_run(route_by_status(repair(wide), dq_score(dq_checks(wide))), base, RUN, "dq_status")
+    repaired = repair(integrate(**masked, latest_payment=True))
+    write_run(route_by_status(repaired, dq_score(dq_checks(integrate(**masked)))), base, RUN, "dq_status")
     return read_run(spark, base, RUN)
 
 
@@ -523,7 +533,7 @@ def count_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _slice(name: str, compat: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        repaired = enforce_schema(repair(_wide(spark, sf_dir, clean=True)))
+        repaired = enforce_schema(_repaired(spark, sf_dir, clean=True))
         return cut_slice(repaired, SLICE[name], compat)
 
     return run
@@ -543,7 +553,7 @@ def slice_all_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _published(spark: SparkSession, sf_dir: str, times: int, mode: str, names: list[str]) -> DataFrame:
     base = shared_dir(spark, "published")
-    write_run(repair(_wide(spark, sf_dir, clean=True)), base, RUN)
+    write_run(_repaired(spark, sf_dir, clean=True), base, RUN)
     slices = split_slices(enforce_schema(read_run(spark, base, RUN)))
     specs = [SLICE[n] for n in names]
     database = "published_" + base[-8:]
@@ -680,9 +690,11 @@ def read_run_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_report_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The failed checks of a run that left no report are those of the latest run."""
-    base = shared_dir(spark, "reports")
-    write_run(dq_checks(_wide(spark, sf_dir, clean=True)), base, "20240101_000000")
-    write_run(dq_checks(_wide(spark, sf_dir)), base, "20240102_000000")
+    base, store = shared_dir(spark, "reports"), shared_dir(spark, "masked")
+    masked = masked_tables(raw_tables(spark, sf_dir), store=store)
+    clean = masked_tables({"orders": raw_table(spark, sf_dir, "clean_orders")}, store=f"{store}/clean")
+    write_run(dq_checks(integrate(**masked | clean)), base, "20240101_000000")
+    write_run(dq_checks(integrate(**masked)), base, "20240102_000000")
     return failed_details(read_report(spark, base, "20240103_000000"))
 
 
@@ -713,7 +725,7 @@ def read_configured_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def chain_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published orders, from raw tables in one plan."""
-    return split_slices(enforce_schema(repair(_wide(spark, sf_dir, clean=True))))["orders"]
+    return split_slices(enforce_schema(_repaired(spark, sf_dir, clean=True)))["orders"]
 
 
 def _chain(spark: SparkSession, sf_dir: str, clean: bool) -> DataFrame:
