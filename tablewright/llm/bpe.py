@@ -280,11 +280,13 @@ def _slices(sizes: list[int]):
         yield start, len(sizes)
 
 
-def _mapped(df: DataFrame, source: str, target: str, kind: str, make) -> DataFrame:
-    """``df`` with one more column, made from slices of another."""
-    if target in df.columns:
-        raise ValueError(f"column {target} is there already")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+def _mapped(df: DataFrame, source: str, targets: dict[str, str], make, keep: bool = True) -> DataFrame:
+    """``df`` with more columns (names and types), made from slices of another; without that one unless ``keep``."""
+    for target in targets:
+        if target in df.columns:
+            raise ValueError(f"column {target} is there already")
+    rest = [f for f in df.schema.fields if keep or f.name != source]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), *(f"`{t}` {kind}" for t, kind in targets.items())])
 
     def run(batches):
         work = make()
@@ -293,18 +295,35 @@ def _mapped(df: DataFrame, source: str, target: str, kind: str, make) -> DataFra
             column = column.cast(pa.binary()) if pa.types.is_string(column.type) else column
             for a, b in _slices(pc.binary_length(column).to_pylist()):
                 out = work(column.slice(a, b - a).to_pylist())
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out)], names=[*part.schema.names, target])
+                columns = [batch.column(f.name).slice(a, b - a) for f in rest]
+                yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, out)], names=[*(f.name for f in rest), *targets])
             give_back()
 
-    return df.mapInArrow(run, f"{schema}, `{target}` {kind}")
+    return df.mapInArrow(run, schema)
+
+
+def _decoder(tokens: list[bytes]):
+    def work(packed: list[bytes]) -> list[str]:
+        out = []
+        for ids in packed:
+            numbers = np.frombuffer(ids, "<u4")
+            numbers = numbers[numbers < len(tokens)]
+            out.append(b" ".join(map(tokens.__getitem__, numbers.tolist())).decode())
+        return out
+
+    return work
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of its text in ``ids_col``: packed little-endian unsigned 32-bit integers."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
     docs = docs.withColumn(text_col, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    return _mapped(docs, text_col, ids_col, "binary", lambda: Encoder(vocabulary.value).encode)
+
+    def make():
+        work = Encoder(vocabulary.value).encode
+        return lambda texts: [work(texts)]
+
+    return _mapped(docs, text_col, {ids_col: "binary"}, make)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -312,16 +331,25 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
     vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
 
     def make():
-        tokens = vocabulary.value.tokens
+        work = _decoder(vocabulary.value.tokens)
+        return lambda packed: [work(packed)]
+
+    return _mapped(df.withColumn(ids_col, F.coalesce(F.col(f"`{ids_col}`"), F.lit(b""))), ids_col, {text_col: "string"}, make)
+
+
+def encode_and_decode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """``docs`` without its text, with the columns of ``encode`` and of ``decode`` after it. Both are made by one Python worker: in two
+    steps a task has two at once, and executors keep all of them for the stages that follow."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
+    docs = docs.withColumn(text_col, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+    def make():
+        to_ids, to_text = Encoder(vocabulary.value).encode, _decoder(vocabulary.value.tokens)
 
-        def work(packed: list[bytes]) -> list[str]:
-            out = []
-            for ids in packed:
-                numbers = np.frombuffer(ids, "<u4")
-                numbers = numbers[numbers < len(tokens)]
-                out.append(b" ".join(map(tokens.__getitem__, numbers.tolist())).decode())
-            return out
+        def work(texts: list[bytes]) -> list[list]:
+            ids = to_ids(texts)
+            return [ids, to_text(ids)]
 
         return work
 
-    return _mapped(df.withColumn(ids_col, F.coalesce(F.col(f"`{ids_col}`"), F.lit(b""))), ids_col, text_col, "string", make)
+    return _mapped(docs, text_col, {ids_col: "binary", decoded_col: "string"}, make, keep=False)

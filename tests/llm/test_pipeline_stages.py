@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from tablewright.llm import language, simhash_texts
+from tablewright.llm import bpe, language, simhash_texts
 from tests.conftest import SMALL
 from tests.llm import brute
 
@@ -118,6 +118,20 @@ def test_encoding_stage(spark, docs):
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_encoding_stage_takes_one_worker_a_task(spark, docs):
+    plan = pipeline.bpe_encoding(spark, docs, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_encode_and_decode_equals_its_steps(spark, docs):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(None, None), (7, ""), (7, " ")], "doc_id long, text string"))
+    once = bpe.encode_and_decode(rows, path)
+    twice = bpe.decode(bpe.encode(rows, path).drop("text"), path)
+    assert once.columns == twice.columns
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, twice.collect()))
+
+
 def test_stages_of_nothing(spark, docs):
     none = docs.limit(0)
     for name, stage in pipeline.STAGES:
