@@ -35,15 +35,17 @@ def enforce_schema(
 
 
 def cast_failures(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
-    """Per column of ``schema``: values present before the cast and NULL after it."""
+    """Per column of ``schema``: values present before the cast and NULL after it. A column that has its type already loses
+    none and is not read."""
     schema = schema or wide_schema()
     require_columns(df, schema.names)
     types = dict(df.dtypes)
-    counts = df.agg(
-        *[
-            F.count_if(F.col(f.name).isNotNull() & _cast(f, types[f.name]).isNull()).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def lost(field: T.StructField) -> Column:
+        if types[field.name] == field.dataType.simpleString():
+            return F.lit(False)
+        return F.col(field.name).isNotNull() & _cast(field, types[field.name]).isNull()
+
+    counts = df.agg(*[F.count_if(lost(f)).alias(f.name) for f in schema.fields])
     rows = [F.struct(F.lit(n).alias("column"), F.col(n).alias("failed_count")) for n in schema.names]
     return counts.select(F.inline(F.array(*rows)))

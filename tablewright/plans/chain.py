@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -17,6 +17,7 @@ from tablewright.operators.quality import check_casts, dq_checks, dq_score, rout
 from tablewright.operators.repair import repair
 from tablewright.operators.schema import enforce_schema
 from tablewright.operators.slices import split_slices
+from tablewright.session import together
 from tablewright.sinks.catalog import publish
 from tablewright.sinks.reports import dq_report, profile_report, write_report
 from tablewright.sinks.runs import write_counted, write_run
@@ -148,15 +149,24 @@ def mask_stage(
     """Deduplicate and mask the raw tables. Both share one write, so that deduplicated clear text
     is stored only with ``keep_dedup_layer``. Checks that need clear or raw text run here and are stored
     for the quality stage."""
-    write_run(source_checks(tables, config.quality), f"{base}/logs/source_checks", run_ts)
     deduplicated = deduplicate(tables, config.tables)
-    if config.keep_dedup_layer:
-        for name, df in deduplicated.items():
+
+    def store(name: str) -> int:
+        df = deduplicated[name]
+        if config.keep_dedup_layer:
             write_run(df, f"{base}/staging_dedup/{name}", run_ts)
-        deduplicated = {n: read_run(spark, f"{base}/staging_dedup/{n}", run_ts) for n in deduplicated}
-    masked = mask(deduplicated, config)
-    after = {name: write_counted(df, f"{base}/staging_masked/{name}", run_ts) for name, df in masked.items()}
-    before = _rows({name: tables[name] for name in deduplicated})
+            df = read_run(spark, f"{base}/staging_dedup/{name}", run_ts)
+        return write_counted(mask({name: df}, config)[name], f"{base}/staging_masked/{name}", run_ts)
+
+    before, _, *stored = together(
+        spark,
+        [
+            lambda: _rows({name: tables[name] for name in deduplicated}),
+            lambda: write_run(source_checks(tables, config.quality), f"{base}/logs/source_checks", run_ts),
+            *[partial(store, name) for name in deduplicated],
+        ],
+    )
+    after = dict(zip(deduplicated, stored))
     _log(spark, base, "mask", run_ts, [(n, None, before[n], after[n], "DONE") for n in deduplicated])
 
 
@@ -199,9 +209,14 @@ def quality_stage(
     write_run(own.withColumn("scored", F.lit(True)).unionByName(found), f"{base}/logs/dq_checks", run_ts)
     checks = read_run(spark, f"{base}/logs/dq_checks", run_ts)
     score = dq_score(checks, config.quality.pass_threshold)
-    write_report(dq_report(checks, score, wide, run_ts), f"{base}/logs/dq", run_ts)
-    rows = write_counted(route_by_status(repair(wide), score), f"{base}/routed", run_ts, "dq_status")
-    status = score.first()["dq_status"]
+    _, rows, status = together(
+        spark,
+        [
+            lambda: write_report(dq_report(checks, score, wide, run_ts), f"{base}/logs/dq", run_ts),
+            lambda: write_counted(route_by_status(repair(wide), score), f"{base}/routed", run_ts, "dq_status"),
+            lambda: score.first()["dq_status"],
+        ],
+    )
     _log(spark, base, "quality", run_ts, [("wide", input_run_ts, integrated["rows_out"], rows, status)])
     return status
 
@@ -244,14 +259,14 @@ def run_chain(
 
     Stages hand over through stored layers, so a lost executor costs at most the current stage,
     no stage is computed twice, and each reads only the columns it needs of the layer before.
+    What reads the same tables and not each other's results runs side by side: profile and masks, tables, slices.
     The driver receives row counts and the status. A stage may also be run by itself, on the
     output of an earlier run.
     """
     _require_tables(tables)
     run_ts = run_ts or new_run_ts()
-    if config.profile:
-        profile_stage(spark, tables, base, run_ts, config)
-    mask_stage(spark, tables, base, run_ts, config)
+    on_raw = (profile_stage, mask_stage) if config.profile else (mask_stage,)
+    together(spark, [partial(stage, spark, tables, base, run_ts, config) for stage in on_raw])
     integrate_stage(spark, base, run_ts, run_ts, config)
     quality_stage(spark, base, run_ts, run_ts, config)
     publish_stage(spark, base, run_ts, run_ts, config)

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -38,6 +42,16 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{parent}/{label}-{uuid.uuid4().hex}"
 
 
+def together(spark: SparkSession, calls: Sequence[Callable[[], Any]]) -> list[Any]:
+    """The results of ``calls``, which do not read each other's, in their order. Each has a thread that submits its jobs, so
+    that tasks of one fill the cores that the last tasks of another leave idle. All have ended when the first error is raised."""
+    if len(calls) < 2:
+        return [call() for call in calls]
+    with ThreadPoolExecutor(len(calls)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+    return [one.result() for one in running]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a stored folder, if it is there."""
     _file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Iterable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tablewright.model import SLICES, SliceSpec
 from tablewright.operators.profile import row_metrics
-from tablewright.session import mark, remove, subfolders
+from tablewright.session import mark, remove, subfolders, together
 
 #: About 256 MB of a narrow table.
 ROWS_PER_BUCKET = 4_000_000
@@ -237,6 +238,53 @@ def _write_iceberg(spark: SparkSession, rows: DataFrame, table: str, mode: str,
         )
 
 
+def _load(
+    spark: SparkSession,
+    rows: DataFrame,
+    database: str,
+    warehouse: str,
+    spec: SliceSpec,
+    mode: str,
+    provider: str,
+    buckets: int | None,
+) -> int | None:
+    """Load one slice as ``publish`` says; returns the rows written, where they are counted on the way."""
+    root, table, schema = f"{warehouse}/{spec.name}", f"{database}.{spec.name}", rows.schema
+    staged = None
+    there = spark.catalog.tableExists(table)
+    sized = spec.bucket_by and not there and not buckets
+    if provider != "iceberg" and (sized or (there and mode in ("upsert", "partitions"))):
+        # The new rows are read more than once: to size buckets, to find their keys, to be stored.
+        staged = f"{root}/_incoming"
+        rows, observed = _counted(rows)
+        rows.write.mode("overwrite").parquet(staged)
+        rows = spark.read.schema(schema).parquet(staged)
+    parts = buckets or (_count(observed) // ROWS_PER_BUCKET + 1 if staged and sized else 64)
+    create_table(spark, rows, spec, database, warehouse, provider, parts)
+    if provider == "iceberg":
+        _write_iceberg(spark, rows.select(*schema.names), table, mode, spec)
+        return None
+    columns = [c for c in spark.table(table).columns if not (spec.partition_by and c == partition_column(spec))]
+    rows = rows.select(*columns)
+    versions = _Versions(spark, root)
+    touched: set[str] = set()
+    written = None
+    if mode == "append":
+        _append(spark, rows, table, spec, versions)
+    else:
+        if mode == "replace" and spec.partition_by:
+            touched = _labels(spark, table)
+        elif mode != "replace" and there:
+            rows, touched = _merged(spark, rows, table, spec, spec.key if mode == "upsert" else spec.partition_by)
+        if spec.partition_by:
+            written = _replace_partitions(spark, rows, table, spec, versions, touched)
+        else:
+            written = _replace_buckets(spark, rows, table, spec, versions)
+    if staged:
+        remove(spark, staged)
+    return written
+
+
 def publish(
     spark: SparkSession,
     slices: Mapping[str, DataFrame],
@@ -256,52 +304,19 @@ def publish(
     snapshots. ``append`` adds rows on every call. New rows have one row a key, as ``cut_slice`` gives them.
     Without ``buckets`` a new table gets one for every ``ROWS_PER_BUCKET`` of its first rows.
 
-    Counts of replaced tables are taken while they are written, the others' by ``verify_counts``.
+    Counts of replaced tables are taken while they are written, the others' by ``verify_counts``. Slices are loaded side by
+    side, each into a table of its own.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     whole = [s.name for s in specs if not s.partition_by]
     if mode == "partitions" and whole:
         raise ValueError(f"{whole} have no date partitions; use mode='upsert'")
-    counts: dict[str, int] = {}
-    for spec in specs:
-        rows, root = slices[spec.name], f"{warehouse}/{spec.name}"
-        staged = None
-        table = f"{database}.{spec.name}"
-        there = spark.catalog.tableExists(table)
-        sized = spec.bucket_by and not there and not buckets
-        if provider != "iceberg" and (sized or (there and mode in ("upsert", "partitions"))):
-            # The new rows are read more than once: to size buckets, to find their keys, to be stored.
-            staged = f"{root}/_incoming"
-            rows, observed = _counted(rows)
-            rows.write.mode("overwrite").parquet(staged)
-            rows = spark.read.schema(slices[spec.name].schema).parquet(staged)
-        parts = buckets or (_count(observed) // ROWS_PER_BUCKET + 1 if staged and sized else 64)
-        create_table(spark, rows, spec, database, warehouse, provider, parts)
-        if provider == "iceberg":
-            _write_iceberg(spark, rows.select(*slices[spec.name].columns), table, mode, spec)
-            continue
-        columns = [c for c in spark.table(table).columns if not (spec.partition_by and c == partition_column(spec))]
-        rows = rows.select(*columns)
-        versions = _Versions(spark, root)
-        touched: set[str] = set()
-        if mode == "append":
-            _append(spark, rows, table, spec, versions)
-        else:
-            if mode == "replace" and spec.partition_by:
-                touched = _labels(spark, table)
-            elif mode != "replace" and there:
-                rows, touched = _merged(spark, rows, table, spec, spec.key if mode == "upsert" else spec.partition_by)
-            if spec.partition_by:
-                written = _replace_partitions(spark, rows, table, spec, versions, touched)
-            else:
-                written = _replace_buckets(spark, rows, table, spec, versions)
-            if mode == "replace":
-                counts[spec.name] = written
-        if staged:
-            remove(spark, staged)
-    if len(counts) == len(specs) and counts:
-        return spark.createDataFrame(list(counts.items()), "table string, row_count long")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{warehouse}'")
+    load = [partial(_load, spark, slices[s.name], database, warehouse, s, mode, provider, buckets) for s in specs]
+    written = dict(zip([s.name for s in specs], together(spark, load)))
+    if mode == "replace" and provider != "iceberg" and written:
+        return spark.createDataFrame(list(written.items()), "table string, row_count long")
     return verify_counts(spark, database, [s.name for s in specs])
 
 
