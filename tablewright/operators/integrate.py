@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.model import ADDRESS_NAMES, CUSTOMER_NAMES, DATE_FORMAT
-from tablewright.operators.dedup import dedup_latest
+from tablewright.model import ADDRESS_NAMES, CUSTOMER_NAMES, DATE_FORMAT, UNKNOWN
+from tablewright.operators.dedup import dedup_latest, dedup_latest_stored
 from tablewright.operators.joins import left_join
 
 
@@ -69,7 +69,15 @@ def join_orders_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
 def latest_payments(payments: DataFrame) -> DataFrame:
     """The payment of each order that ``repair`` keeps: the latest by date, then by id. Ids occur once."""
     dated = standardize(payments.withColumn("_paid", F.col("payment_date")), ["_paid"])
-    return dedup_latest(dated, "order_id", "_paid", ["payment_id"]).drop("_paid")
+    return dedup_latest_stored(dated, "order_id", "_paid", ["payment_id"]).drop("_paid")
+
+
+def latest_addresses(address: DataFrame) -> DataFrame:
+    """The address of each customer that ``repair`` keeps for all of their orders: the greatest by its columns in the order of
+    the wide row, a missing text counting as ``UNKNOWN``."""
+    kinds = {c: kind for c, kind in address.dtypes if c not in ("address_id", "customer_id")}
+    filled = {f"_{c}": F.coalesce(c, F.lit(UNKNOWN)) if kind == "string" else F.col(c) for c, kind in kinds.items()}
+    return dedup_latest(address.withColumns(filled), "customer_id", next(iter(filled)), list(filled)).drop(*filled)
 
 
 def total_amount(order_amount: Column, amount: Column) -> Column:
@@ -93,10 +101,11 @@ def integrate(
     the parts of ``left_join`` and keep those from sharing a shuffle.
     ``total_amount`` is NULL without a payment; ``repair`` fills it.
 
-    ``latest_payment=True`` joins only the payment of each order that ``repair`` keeps, for rows that go to it and nowhere
-    else: the others are left out while rows are narrow. Payments then have one row an order, so no key is hot on the right.
+    ``latest_payment=True`` joins only the payment of each order and the address of each customer that ``repair`` keeps, for
+    rows that go to it and nowhere else: the others are left out while rows are narrow. Payments then have one row an order,
+    so no key is hot on the right, and where customers and orders have one row a key, so does the result.
     """
-    people = join_customer_address(customer, address)
+    people = join_customer_address(customer, latest_addresses(address) if latest_payment else address)
     if latest_payment:
         paid = orders.join(latest_payments(payments), "order_id", "left")
     else:

@@ -9,7 +9,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tablewright.model import HASH_COLUMNS, MASKING_RULES, SLICES, TABLES, QualityRules, SliceSpec, TableSpec, wide_schema
-from tablewright.operators.dedup import dedup_latest
+from tablewright.operators.dedup import dedup_latest, dedup_latest_stored
 from tablewright.operators.integrate import integrate
 from tablewright.operators.mask import mask_pii
 from tablewright.operators.profile import profile, row_metrics
@@ -46,7 +46,11 @@ class ChainConfig:
 
 def deduplicate(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> dict[str, DataFrame]:
     """The latest row per primary key of every table that is there."""
-    return {s.name: dedup_latest(tables[s.name], s.primary_key, s.sort_column) for s in specs if s.name in tables}
+    return {
+        s.name: (dedup_latest_stored if s.narrow else dedup_latest)(tables[s.name], s.primary_key, s.sort_column)
+        for s in specs
+        if s.name in tables
+    }
 
 
 def mask(tables: Mapping[str, DataFrame], config: ChainConfig = ChainConfig()) -> dict[str, DataFrame]:

@@ -89,7 +89,8 @@ def _wide(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
 
 def _repaired(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """The repaired wide rows, where nothing else reads the wide ones."""
-    return repair(curate(raw_tables(spark, sf_dir, clean), store=shared_dir(spark, "masked"), latest_payment=True))
+    tables = raw_tables(spark, sf_dir, clean)
+    return repair(curate(tables, store=shared_dir(spark, "masked"), latest_payment=True), one_row=True)
 
 
 def _stored_wide(spark: SparkSession, sf_dir: str, clean: bool = False, columns: set[str] | None = None) -> DataFrame:
@@ -486,7 +487,7 @@ def _routed(spark: SparkSession, sf_dir: str, clean: bool) -> DataFrame:
     """Repaired rows stored under the status of their run, and read back."""
     masked = masked_tables(raw_tables(spark, sf_dir, clean), store=shared_dir(spark, "masked"))
     base = shared_dir(spark, "routed")
-    repaired = repair(integrate(**masked, latest_payment=True))
+    repaired = repair(integrate(**masked, latest_payment=True), one_row=True)
     write_run(route_by_status(repaired, dq_score(dq_checks(integrate(**masked)))), base, RUN, "dq_status")
     return read_run(spark, base, RUN)
 
